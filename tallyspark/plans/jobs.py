@@ -550,7 +550,7 @@ def same_day_withdraw_dod(R, p: P.Params, restrict: bool = False) -> DataFrame:
     # duplicated listing_id; the loan list is unique per listing, so it is not planned
     c = cohort_conversion(entry, m, "flow_id", "limit_day", "withdraw_day", ["loan_type"],
                           {"wd": (0, 0)}, grain=p.grain)
-    c = c.select("limit_day", "loan_type", F.col("wd_rows").alias("rows"),
+    c = c.select("limit_day", "loan_type", F.col("wd_rows").alias("row_cnt"),
                  F.col("wd_conv").alias("withdraw_cnt"), F.col("wd_rate").alias("withdraw_rate"))
     return day_over_day_change(c, ["loan_type"], "limit_day", "withdraw_rate", "withdraw_rate_dod")
 
