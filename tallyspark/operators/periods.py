@@ -79,19 +79,24 @@ def latest_snapshot(df: DataFrame, part_col: str = "dt") -> DataFrame:
     return df.filter(F.col(part_col) == latest)
 
 
-def slice_at(df: DataFrame, day_col: str, at: _dt.date, values: dict[str, str],
-             reducer: str = "sum", empty=None, where: Column | None = None) -> DataFrame:
-    """One-row frame: each output ``name`` reduces column ``values[name]`` over
-    the rows of ``df`` whose day is ``at`` (and ``where``).
-
-    reducer: ``sum`` (empty or all-NULL -> 0), ``max`` / ``mean`` (empty -> NULL),
-    ``pick`` (the single row's value; no row -> ``empty``, NULL value stays NULL).
+def slice_at(df: DataFrame, day_col: str, at: _dt.date, specs: dict[str, tuple],
+             where: Column | None = None) -> DataFrame:
+    """One-row frame of reductions over the rows of ``df`` whose day is ``at``
+    (and ``where``) — the pandas masks ``frame[frame.day == as_of][col].sum()``
+    as one conditional aggregate.
+
+    ``specs`` maps an output name to ``(column, reducer)`` or
+    ``(column, reducer, empty)``; reducers: ``sum`` (empty or all-NULL -> 0),
+    ``max`` / ``mean`` (empty -> NULL), ``pick`` (the single row's value; no
+    row -> ``empty``, a NULL value stays NULL).
     """
     sel = F.col(day_col) == F.lit(at)
     if where is not None:
         sel = sel & where
     aggs = []
-    for name, src in values.items():
+    for name, spec in specs.items():
+        src, reducer = spec[0], spec[1]
+        empty = spec[2] if len(spec) > 2 else None
         v = F.when(sel, col(src))
         if reducer == "sum":
             a = F.coalesce(F.sum(v), F.lit(0))
