@@ -29,10 +29,10 @@ def metric_table(frames: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    win = F.max_by(F.struct("job", "value"), "job_ordinal")
+    payload = [c for c in u.columns if c not in ("metric", "job_ordinal")]
+    win = F.max_by(F.struct(*payload), "job_ordinal")
     return (u.groupBy("metric").agg(win.alias("_w"), F.max("job_ordinal").alias("job_ordinal"))
-             .select(F.col("_w.job").alias("job"), "metric", F.col("_w.value").alias("value"),
-                     "job_ordinal"))
+             .select("metric", *[F.col("_w")[c].alias(c) for c in payload], "job_ordinal"))
 
 
 def targets_frame(spark: SparkSession, targets: dict) -> DataFrame:
@@ -41,16 +41,17 @@ def targets_frame(spark: SparkSession, targets: dict) -> DataFrame:
 
 def target_attainment(metrics: DataFrame, targets: DataFrame, mapping: DataFrame,
                       default: float = 1.0) -> DataFrame:
-    """For each (att_metric, metric, target_key) mapping row: value / target.
-    A target missing from the config divides by ``default`` (1).  The target
-    and mapping frames are configuration (tens of rows), so they are
-    broadcast; the metric side is the ~100-row panel."""
-    m = metrics.select("metric", "value")
-    j = (F.broadcast(mapping).join(m, "metric", "left")
-         .join(F.broadcast(targets), "target_key", "left"))
-    return j.select(F.lit("attainment").alias("job"), F.col("att_metric").alias("metric"),
-                    F.try_divide(F.col("value"), F.coalesce(F.col("target"), F.lit(default))).alias("value"),
-                    F.col("metric").alias("base_metric"), "target")
+    """Attainment rows: for each mapping row (att_metric, base_metric,
+    target_key) whose base metric is in ``metrics``, value / target.  A target
+    missing from the configuration divides by ``default`` (1).  ``targets``
+    and ``mapping`` are configuration (tens of rows, a fixed bound), so they
+    are broadcast; the metric side is the ~100-row panel."""
+    m = metrics.withColumnRenamed("metric", "base_metric")
+    j = (m.join(F.broadcast(mapping), "base_metric", "inner")
+          .join(F.broadcast(targets), "target_key", "left"))
+    keep = [c for c in metrics.columns if c not in ("metric", "value")]
+    return j.select(*keep, F.col("att_metric").alias("metric"), "base_metric", "target",
+                    F.try_divide(F.col("value"), F.coalesce(F.col("target"), F.lit(default))).alias("value"))
 
 
 def day_over_day_change(df: DataFrame, keys: Sequence[str], day_col: str, value_col: str,
@@ -70,7 +71,7 @@ def day_over_day_change(df: DataFrame, keys: Sequence[str], day_col: str, value_
 def metric_completeness(metrics: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected catalogue LEFT JOIN produced metrics -> ok / null / missing."""
     m = metrics.select("metric", "value", F.lit(True).alias("_present"))
-    j = expected.join(m, "metric", "left")
+    j = expected.join(F.broadcast(m), "metric", "left")
     status = (F.when(F.col("_present").isNull(), "missing")
                .when(F.col("value").isNull() | F.isnan(F.col("value")), "null")
                .otherwise("ok"))

@@ -78,7 +78,7 @@ def _eq_int(key: str, v: int) -> Column:
 
 
 # ---------------------------------------------------------------- J1
-def daily_loan_panel(R, p: P.Params, restrict: bool = False) -> DataFrame:
+def daily_loan_panel(R, p: P.Params, restrict: bool = False, exact: bool = False) -> DataFrame:
     d = R.daily_deals
     if restrict:
         d = period_filter(d, "biz_date", p.as_of, "mtd")
@@ -90,6 +90,8 @@ def daily_loan_panel(R, p: P.Params, restrict: bool = False) -> DataFrame:
         F.sum("deal_amount").alias("deal_amount"))
     g = mtd_cumulative(g, "biz_date", ["user_type", "refunded"],
                        {"mtd_deal_cnt": "deal_cnt", "mtd_deal_amount": "deal_amount"})
+    if exact:  # decimal sums for slices that add several rows
+        return g
     return g.select("biz_date", "user_type", "refunded", "deal_cnt", "deal_users",
                     dbl(F.col("deal_amount")).alias("deal_amount"),
                     F.col("mtd_deal_cnt").cast("bigint").alias("mtd_deal_cnt"),
@@ -98,7 +100,7 @@ def daily_loan_panel(R, p: P.Params, restrict: bool = False) -> DataFrame:
 
 
 def daily_loan_panel_metrics(R, p: P.Params) -> DataFrame:
-    g = daily_loan_panel(R, p, restrict=True)
+    g = daily_loan_panel(R, p, restrict=True, exact=True)
     t, fx = p.targets, F.lit(p.fx)
     no = F.col("refunded") == "no"
     today = _on("biz_date", p.as_of, no)

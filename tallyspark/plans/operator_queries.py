@@ -302,3 +302,38 @@ OPERATOR_QUERIES = {
     "same_day_conversion": same_day_conversion,
     "cost_per_acquisition": cost_per_acquisition,
 }
+
+
+# -- panel operators (full panel at the test calendar's as_of days) ---------
+def _panel_ctx(spark, sf_dir):
+    from tallyspark.plans import panel
+    R, p = _ctx(spark, sf_dir)
+    return panel, R, p
+
+
+def metric_table_q(spark, sf_dir) -> DataFrame:
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    return panel.panel_table(R, p)
+
+
+def target_attainment_q(spark, sf_dir) -> DataFrame:
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    return panel.attainment(R, p).select("as_of", "job", "metric", "base_metric", "target", "value")
+
+
+def metric_completeness_q(spark, sf_dir) -> DataFrame:
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    return panel.completeness(R, p)
+
+
+def report_lines_q(spark, sf_dir) -> DataFrame:
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    return panel.report(R, p)
+
+
+OPERATOR_QUERIES.update({
+    "metric_table": metric_table_q,
+    "target_attainment": target_attainment_q,
+    "metric_completeness": metric_completeness_q,
+    "report_lines": report_lines_q,
+})
