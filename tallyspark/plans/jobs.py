@@ -329,6 +329,10 @@ def limit_application_panel_metrics(R, p: P.Params) -> DataFrame:
 
 # ---------------------------------------------------------------- J10
 def revolving_users(R, p: P.Params) -> DataFrame:
+    """Users with a cyclic-credit decision since ``revolving_since`` (distinct).
+    A fused panel run supplies it precomputed from the full decision log."""
+    if hasattr(R, "revolving_members"):
+        return R.revolving_members()
     d = R.decisions.filter(_biz(P.BIZ_REVOLVING) & (F.col("inserttime") >= F.lit(p.revolving_since))
                            & (attr("is_cyclic") == "true"))
     return d.select("user_id").distinct()

@@ -313,22 +313,23 @@ def _panel_ctx(spark, sf_dir):
 
 def metric_table_q(spark, sf_dir) -> DataFrame:
     panel, R, p = _panel_ctx(spark, sf_dir)
-    return panel.panel_table(R, p)
+    return panel.run_panel(R, p)
 
 
 def target_attainment_q(spark, sf_dir) -> DataFrame:
     panel, R, p = _panel_ctx(spark, sf_dir)
-    return panel.attainment(R, p).select("as_of", "job", "metric", "base_metric", "target", "value")
+    t = panel.run_panel(R, p).filter(~F.col("metric").endswith("_att"))
+    return panel.attainment(R, p, t).select("as_of", "job", "metric", "base_metric", "target", "value")
 
 
 def metric_completeness_q(spark, sf_dir) -> DataFrame:
     panel, R, p = _panel_ctx(spark, sf_dir)
-    return panel.completeness(R, p)
+    return panel.completeness(R, p, panel.run_panel(R, p))
 
 
 def report_lines_q(spark, sf_dir) -> DataFrame:
     panel, R, p = _panel_ctx(spark, sf_dir)
-    return panel.report(R, p)
+    return panel.report(R, p, panel.run_panel(R, p))
 
 
 OPERATOR_QUERIES.update({

@@ -46,10 +46,70 @@ def panel_table(R, p: Params) -> DataFrame:
     return t.unionByName(a)
 
 
-def completeness(R, p: Params) -> DataFrame:
+def fused_panel_table(R, p: Params) -> DataFrame:
+    """``panel_table`` over role slices cut once for the whole run (one pass
+    per role; see ``plans.fused``), as one lazy plan."""
+    from tallyspark.plans.fused import PanelRoles
+    return panel_table(PanelRoles(R, p), p)
+
+
+def run_panel(R, p: Params, workers: int = 8, log=None) -> DataFrame:
+    """Production run of the panel.
+
+    1. Role slices are written once each (``plans.fused``), concurrently.
+    2. Each job's long metric rows are computed and written by the executors
+       under the run folder, concurrently (Spark runs jobs submitted from
+       several threads side by side).  A failing job is logged and skipped —
+       its metrics then show as ``missing`` in ``completeness`` — instead of
+       failing the panel.
+    3. The metric table (last job wins on a shared name) and the attainment
+       rows are computed from the written job outputs (~100 rows).
+    Returns the panel table (as_of, job, metric, value) read from the run
+    folder; nothing but that table's rows can ever reach the driver.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tallyspark.plans.fused import PanelRoles
+    from tallyspark.session import materialize
+    from tallyspark.sources.roles import ROLE_NAMES
+
+    S = PanelRoles(R, p)
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        list(pool.map(lambda name: getattr(S, name), ROLE_NAMES))
+        S.revolving_members()
+
+        def one(i_job):
+            i, (name, _, metrics) = i_job
+            pj = p.for_job(name)
+            try:
+                df = metrics(S, pj).withColumn("as_of", F.lit(pj.as_of)).withColumn("job_ordinal", F.lit(i))
+                return materialize(df, f"panel-{S.run_id}/jobs/{name}")
+            except Exception as e:  # noqa: BLE001 — one failing job must not stop the panel
+                if log:
+                    log(f"job {name} failed: {e}")
+                return None
+        outs = [o for o in pool.map(one, enumerate(JOBS)) if o is not None]
+    u = outs[0]
+    for o in outs[1:]:
+        u = u.unionByName(o)
+    t = _last_wins(u)
+    a = attainment(R, p, t).select("as_of", "job", "metric", "value")
+    return t.unionByName(a)
+
+
+def _last_wins(u: DataFrame) -> DataFrame:
+    win = F.max_by(F.struct("as_of", "job", "value"), "job_ordinal")
+    return (u.groupBy("metric").agg(win.alias("_w"))
+             .select(F.col("_w.as_of").alias("as_of"), F.col("_w.job").alias("job"), "metric",
+                     F.col("_w.value").alias("value")))
+
+
+def completeness(R, p: Params, table: DataFrame | None = None) -> DataFrame:
+    table = table if table is not None else panel_table(R, p)
     expected = R.spark.createDataFrame(expected_catalogue(), "job string, metric string")
-    return PO.metric_completeness(panel_table(R, p).drop("job"), expected)
+    return PO.metric_completeness(table.drop("job"), expected)
 
 
-def report(R, p: Params) -> DataFrame:
-    return report_lines(panel_table(R, p), layout_frame(R.spark, LAYOUT))
+def report(R, p: Params, table: DataFrame | None = None) -> DataFrame:
+    table = table if table is not None else panel_table(R, p)
+    return report_lines(table, layout_frame(R.spark, LAYOUT))

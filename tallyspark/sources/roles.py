@@ -43,6 +43,7 @@ daily_conversions biz_date, asset_product, fst_withdraw_succ_cnt
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,12 +70,20 @@ class Roles:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._memo: dict[str, DataFrame] = {}
+        self._guard = threading.Lock()
+        self._locks: dict[str, threading.Lock] = {}
+
+    def _lock(self, name: str) -> threading.Lock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.Lock())
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in ROLE_NAMES:
             raise AttributeError(name)
-        if name not in self._memo:
-            self._memo[name] = self._build(name)
+        # built once even when several threads ask for it at the same time
+        with self._lock(name):
+            if name not in self._memo:
+                self._memo[name] = self._build(name)
         return self._memo[name]
 
     def _build(self, name: str) -> DataFrame:  # pragma: no cover

@@ -21,10 +21,14 @@ class TableSource:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, f"{name}.parquet")
 
     def read(self, name: str, columns: list[str] | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        # one file listing / footer read per table; projections are plans only
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        df = self._frames[name]
         return df.select(*columns) if columns else df
