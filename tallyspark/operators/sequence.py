@@ -3,7 +3,8 @@
 Neither puts one key's rows into a single task:
 
 * ``first_event_per_key`` is an aggregate (``min`` of a struct ordered by
-  time then id), combined map-side before the shuffle.
+  time then id), combined map-side before the shuffle (a struct buffer
+  plans as a partial + final SortAggregate, which spills).
 * ``event_sequence`` numbers rows per key without a window partitioned by
   the key.  Rows are range-partitioned on (key, order, tie) — a hot key spans
   many range partitions — and numbered by position inside their partition;
