@@ -11,6 +11,9 @@ executor recomputes from the written slice, not from the source).
 
 Key cuts are LEFT joins to *distinct* key sets plus a flag filter, so a row
 is kept at most once whatever the number of matching keys.
+
+Only roles read by several jobs are written (``SHARED``); a role read by one
+job stays a lazy, period-cut view — writing it would add a pass, not save one.
 """
 
 from __future__ import annotations
@@ -28,6 +31,10 @@ from tallyspark.sources.roles import Roles
 
 D = _dt.timedelta
 
+# roles read by more than one job of the panel
+SHARED = ("decisions", "loans", "limit_loan", "listings", "installments",
+          "registrations", "register_channel")
+
 
 def _keep_if_keyed(df: DataFrame, cond: Column | None, keysets: list[tuple[str, DataFrame, str]]) -> DataFrame:
     """Rows where ``cond`` holds or whose ``col`` is in a key set."""
@@ -64,12 +71,13 @@ class PanelRoles(Roles):
     def _revolving_members(self) -> DataFrame:
         if self._revolving is None:
             from tallyspark.plans.jobs import revolving_users
-            self._revolving = self._save("revolving_members",
-                                         revolving_users(self.base, self.p.for_job("ticket_size_and_term")))
+            # read by one job: kept lazy (a distinct set over the decision log)
+            self._revolving = revolving_users(self.base, self.p.for_job("ticket_size_and_term"))
         return self._revolving
 
     def _build(self, name: str) -> DataFrame:
-        return self._save(name, getattr(self, f"_slice_{name}")())
+        df = getattr(self, f"_slice_{name}")()
+        return self._save(name, df) if name in SHARED else df
 
     # -- event log -------------------------------------------------------
     def _slice_decisions(self) -> DataFrame:

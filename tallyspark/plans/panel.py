@@ -53,7 +53,7 @@ def fused_panel_table(R, p: Params) -> DataFrame:
     return panel_table(PanelRoles(R, p), p)
 
 
-def run_panel(R, p: Params, workers: int = 8, log=None) -> DataFrame:
+def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
     """Production run of the panel.
 
     1. Role slices are written once each (``plans.fused``), concurrently.
@@ -69,14 +69,12 @@ def run_panel(R, p: Params, workers: int = 8, log=None) -> DataFrame:
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from tallyspark.plans.fused import PanelRoles
+    from tallyspark.plans.fused import SHARED, PanelRoles
     from tallyspark.session import materialize
-    from tallyspark.sources.roles import ROLE_NAMES
 
     S = PanelRoles(R, p)
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        list(pool.map(lambda name: getattr(S, name), ROLE_NAMES))
-        S.revolving_members()
+        list(pool.map(lambda name: getattr(S, name), SHARED))
 
         def one(i_job):
             i, (name, _, metrics) = i_job
