@@ -57,15 +57,18 @@ def target_attainment(metrics: DataFrame, targets: DataFrame, mapping: DataFrame
 def day_over_day_change(df: DataFrame, keys: Sequence[str], day_col: str, value_col: str,
                         name: str = "dod", prev_value_col: str | None = None) -> DataFrame:
     """value(d) - value(d-1) per key; NULL when day d-1 has no row.
-    ``prev_value_col`` names the column to read on the previous day (defaults
-    to ``value_col``).  ``df`` is a daily frame (one row per key and day), so
-    each window partition holds one row per calendar day."""
+
+    ``prev_value_col`` names the column read on the previous day (defaults to
+    ``value_col``).  ``df`` is a daily frame (one row per key and day).  Written
+    as an equi self-join on (keys, day = previous day + 1) rather than a
+    ``lag`` window, so no step needs all days of a key — or, without keys, the
+    whole frame — in one task.
+    """
     prev_src = prev_value_col or value_col
-    w = Window.partitionBy(*keys).orderBy(day_col)
-    prev_day = F.lag(F.col(day_col)).over(w)
-    prev_val = F.lag(F.col(prev_src)).over(w)
-    adjacent = F.datediff(F.col(day_col), prev_day) == 1
-    return df.withColumn(name, F.when(adjacent, F.col(value_col) - prev_val))
+    prev = df.select(*keys, F.date_add(F.col(day_col), 1).alias(day_col),
+                     F.col(prev_src).alias("_prev_value"))
+    j = df.join(prev, [*keys, day_col], "left")
+    return j.withColumn(name, F.col(value_col) - F.col("_prev_value")).drop("_prev_value")
 
 
 def metric_completeness(metrics: DataFrame, expected: DataFrame) -> DataFrame:
