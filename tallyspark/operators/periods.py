@@ -39,10 +39,14 @@ def day_between(df: DataFrame, c: str, lo: _dt.date | None, hi: _dt.date | None)
 
 
 def day_in(df: DataFrame, c: str, days: Iterable[_dt.date]) -> Column:
-    days = sorted(set(days))
-    if _is_ts(df, c):
-        return F.to_date(F.col(c)).isin(*[F.lit(d) for d in days])
-    return F.col(c).isin(*[F.lit(d) for d in days])
+    """Rows whose day is one of ``days``.  Written as an OR of per-day
+    conditions rather than ``IN``: Catalyst unwraps ``to_date(ts) = d`` (and a
+    raw range) into a pushed parquet filter, but not ``to_date(ts) IN (...)``."""
+    out = None
+    for d in sorted(set(days)):
+        cond = day_between(df, c, d, d) if _is_ts(df, c) else (F.col(c) == F.lit(d))
+        out = cond if out is None else out | cond
+    return out if out is not None else F.lit(False)
 
 
 def period_filter(df: DataFrame, date_col: str, as_of: _dt.date, kind: str = "mtd",

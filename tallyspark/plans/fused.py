@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.periods import day_between, latest_snapshot
+from tallyspark.operators.periods import day_between, day_in, latest_snapshot
 from tallyspark.params import Params
 from tallyspark.session import materialize
 from tallyspark.sources.roles import Roles
@@ -147,7 +147,7 @@ class PanelRoles(Roles):
     def _slice_installments(self) -> DataFrame:
         a7, a8 = self._a("first_payment_default"), self._a("settled_loans")
         i = self.base.installments
-        due = F.col("due_date").isin(a7, a7 - D(days=6))
+        due = day_in(i, "due_date", [a7, a7 - D(days=6)])
         return i.filter(due | day_between(i, "repay_time", a8.replace(day=1), a8))
 
     def _slice_listings(self) -> DataFrame:

@@ -49,3 +49,11 @@ def test_first_event_is_an_aggregate(roles):
     # partial + final aggregate (a struct buffer plans as SortAggregate)
     assert "Window" not in plan and ("HashAggregate" in plan or "SortAggregate" in plan)
     assert "partial_min" in plan
+
+
+def test_day_list_cut_is_pushed_as_ranges(roles, params):
+    from tallyspark.operators.periods import period_filter
+    d = period_filter(roles.decisions, "inserttime", params.as_of, "two_day").select("flow_id")
+    plan = _plan(d)
+    i = plan.find("PushedFilters")
+    assert "Or(And(GreaterThanOrEqual(ts" in plan[i:i + 400]
