@@ -54,21 +54,26 @@ def target_attainment(metrics: DataFrame, targets: DataFrame, mapping: DataFrame
                     F.try_divide(F.col("value"), F.coalesce(F.col("target"), F.lit(default))).alias("value"))
 
 
-def day_over_day_change(df: DataFrame, keys: Sequence[str], day_col: str, value_col: str,
-                        name: str = "dod", prev_value_col: str | None = None) -> DataFrame:
+def day_over_day_change(df: DataFrame, keys: Sequence[str], day_col: str, value_col: str | None = None,
+                        name: str = "dod", prev_value_col: str | None = None,
+                        changes: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """value(d) - value(d-1) per key; NULL when day d-1 has no row.
 
-    ``prev_value_col`` names the column read on the previous day (defaults to
-    ``value_col``).  ``df`` is a daily frame (one row per key and day).  Written
-    as an equi self-join on (keys, day = previous day + 1) rather than a
-    ``lag`` window, so no step needs all days of a key — or, without keys, the
-    whole frame — in one task.
+    One change: ``value_col`` -> ``name`` (reading ``prev_value_col`` on the
+    previous day, default ``value_col``).  Several: ``changes`` maps
+    name -> (value column, previous-day column), all from one join.
+    ``df`` is a daily frame (one row per key and day).  Written as an equi
+    self-join on (keys, day = previous day + 1) rather than a ``lag`` window,
+    so no step needs all days of a key — or, without keys, the whole frame —
+    in one task.
     """
-    prev_src = prev_value_col or value_col
+    changes = dict(changes or {name: (value_col, prev_value_col or value_col)})
+    prev_cols = {n: f"_prev_{i}" for i, n in enumerate(changes)}
     prev = df.select(*keys, F.date_add(F.col(day_col), 1).alias(day_col),
-                     F.col(prev_src).alias("_prev_value"))
+                     *[F.col(src).alias(prev_cols[n]) for n, (_, src) in changes.items()])
     j = df.join(prev, [*keys, day_col], "left")
-    return j.withColumn(name, F.col(value_col) - F.col("_prev_value")).drop("_prev_value")
+    j = j.withColumns({n: F.col(v) - F.col(prev_cols[n]) for n, (v, _) in changes.items()})
+    return j.drop(*prev_cols.values())
 
 
 def metric_completeness(metrics: DataFrame, expected: DataFrame) -> DataFrame:

@@ -636,8 +636,8 @@ def limit_to_bid_dod(R, p: P.Params, restrict: bool = False) -> DataFrame:
         ssum("bid_conv", pr).cast("bigint").alias("prime_bid_cnt"))
     g = g.withColumns({"bid_rate": safe_div("bid_cnt", "has_limit_cnt"),
                        "prime_bid_rate": safe_div("prime_bid_cnt", "prime_has_limit_cnt")})
-    g = day_over_day_change(g, [], "limit_day", "bid_rate", "bid_rate_dod")
-    return day_over_day_change(g, [], "limit_day", "prime_bid_rate", "prime_bid_rate_dod")
+    return day_over_day_change(g, [], "limit_day", changes={
+        "bid_rate_dod": ("bid_rate", "bid_rate"), "prime_bid_rate_dod": ("prime_bid_rate", "prime_bid_rate")})
 
 
 def limit_to_bid_dod_metrics(R, p: P.Params) -> DataFrame:
