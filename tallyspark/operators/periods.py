@@ -19,14 +19,17 @@ def _is_ts(df: DataFrame, name: str) -> bool:
 def day_between(df: DataFrame, c: str, lo: _dt.date | None, hi: _dt.date | None) -> Column:
     """Inclusive day range on column ``c`` (a date or a timestamp).  On a
     timestamp it is written as a half-open range on the raw column, so the
-    parquet reader gets it as a pushed filter and row groups are skipped."""
+    parquet reader gets it as a pushed filter and row groups are skipped.
+    Bounds are DATE literals (cast to the column's timestamp type by Spark):
+    no Python datetime, so the cut does not depend on the session or the
+    client time zone."""
     x = F.col(c)
     conds = []
     if _is_ts(df, c):
         if lo is not None:
-            conds.append(x >= F.lit(_dt.datetime.combine(lo, _dt.time())))
+            conds.append(x >= F.lit(lo))
         if hi is not None:
-            conds.append(x < F.lit(_dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time())))
+            conds.append(x < F.lit(hi + _dt.timedelta(days=1)))
     else:
         if lo is not None:
             conds.append(x >= F.lit(lo))

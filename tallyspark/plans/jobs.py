@@ -333,7 +333,8 @@ def revolving_users(R, p: P.Params) -> DataFrame:
     A fused panel run supplies it precomputed from the full decision log."""
     if hasattr(R, "revolving_members"):
         return R.revolving_members()
-    d = R.decisions.filter(_biz(P.BIZ_REVOLVING) & (F.col("inserttime") >= F.lit(p.revolving_since))
+    since = F.lit(p.revolving_since.isoformat(sep=" "))   # text: cast to the column's type
+    d = R.decisions.filter(_biz(P.BIZ_REVOLVING) & (F.col("inserttime") >= since)
                            & (attr("is_cyclic") == "true"))
     return d.select("user_id").distinct()
 
