@@ -101,6 +101,19 @@ ORDER_JOBS = ("daily_loan_panel", "first_payment_default", "settled_loans",
               "ticket_size_and_term")
 
 
+def load_targets(path: str, base: dict | None = None) -> dict:
+    """Targets from a JSON object file ``{"metric_or_key": number, ...}``
+    (parsed as data — never evaluated), over the built-in ``TARGETS``."""
+    import json
+    with open(path, encoding="utf-8") as f:
+        loaded = json.load(f)
+    if not isinstance(loaded, dict) or not all(isinstance(v, (int, float)) for v in loaded.values()):
+        raise ValueError("targets file must be a JSON object of numbers")
+    out = dict(TARGETS if base is None else base)
+    out.update({str(k): float(v) for k, v in loaded.items()})
+    return out
+
+
 def test_params(**kw) -> Params:
     return Params(as_of=EVENT_AS_OF,
                   job_as_of={j: ORDER_AS_OF for j in ORDER_JOBS}, **kw)

@@ -95,6 +95,15 @@ def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
     return t.unionByName(a)
 
 
+def sink_panel(R, p: Params, path: str, table: DataFrame | None = None) -> None:
+    """Metric sink: write the panel under ``path`` partitioned by as_of.
+    Dynamic partition overwrite replaces only the days written, so re-running
+    a day (a retry, a late correction) never duplicates or drops other days."""
+    table = table if table is not None else run_panel(R, p)
+    (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("as_of").parquet(path))
+
+
 def _last_wins(u: DataFrame) -> DataFrame:
     win = F.max_by(F.struct("as_of", "job", "value"), "job_ordinal")
     return (u.groupBy("metric").agg(win.alias("_w"))

@@ -32,13 +32,11 @@ from tallyspark.session import ensure_checkpoint_dir
 def refresh_days(spark: SparkSession, make_roles: Callable, params: Params, days, sink: str) -> None:
     """Run the panel for each day (every job at that as_of) and overwrite
     those days in the sink."""
-    from tallyspark.plans.panel import run_panel
+    from tallyspark.plans.panel import run_panel, sink_panel
     for d in sorted(set(days)):
         p = replace(params, as_of=d, job_as_of={})
-        table = run_panel(make_roles(), p)
-        (table.withColumn("as_of", F.lit(d))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("as_of").parquet(sink))
+        R = make_roles()
+        sink_panel(R, p, sink, run_panel(R, p).withColumn("as_of", F.lit(d)))
 
 
 def daily_refresh(spark: SparkSession, source_dir: str, time_col: str, make_roles: Callable,
