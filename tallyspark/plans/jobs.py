@@ -29,7 +29,6 @@ from tallyspark.operators.joins import (allow_list_join, chained_enrichment, coh
 from tallyspark.operators.panel import day_over_day_change, to_long
 from tallyspark.operators.periods import latest_snapshot, period_filter
 from tallyspark.operators.rollups import daily_rollup, funnel_ratio, mtd_cumulative
-from tallyspark.operators.sequence import first_event_per_key  # noqa: F401  (re-export)
 
 
 # ---------------------------------------------------------------- slices
@@ -485,10 +484,12 @@ def cohort_cps_t0_t3(R, p: P.Params, restrict: bool = False) -> DataFrame:
     per_user = j.groupBy("user_id", "reg_day").agg(
         F.sum(F.when(F.col("wday") == F.col("reg_day"), F.col("n_ok")).otherwise(0)).alias("t0_rows"),
         F.max(F.when((F.datediff("wday", "reg_day") <= 3) & (F.col("n_ok") > 0), 1).otherwise(0)).alias("t3_hit"))
+    # per_user is one row per (user, reg_day): counts of its rows are the
+    # reference's distinct-user counts
     g = per_user.groupBy("reg_day").agg(
-        F.count_distinct("user_id").alias("register_cnt"),
+        F.count(F.lit(1)).alias("register_cnt"),
         F.sum("t0_rows").cast("bigint").alias("fst_withdraw_succ_cnt"),
-        F.count_distinct(F.when(F.col("t3_hit") == 1, F.col("user_id"))).alias("t3_withdraw_user_num"))
+        F.sum("t3_hit").cast("bigint").alias("t3_withdraw_user_num"))
     c = cost.groupBy(F.col("biz_date").alias("reg_day")).agg(dbl(F.sum("cost")).alias("cost"))
     out = g.join(c, "reg_day", "left")
     return out.withColumns({"cps_t0": safe_div("cost", "fst_withdraw_succ_cnt"),
