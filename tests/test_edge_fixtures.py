@@ -197,3 +197,21 @@ def test_same_day_conversion(spark):
     c = spark.createDataFrame([(1, d), (1, d), (2, d + dt.timedelta(days=1))], "u int, cday date")
     r = J.same_day_conversion(e, c, "u", "day", "cday").first()
     assert (r.entry_users, r.conv_users, r.rate) == (3, 1, 1 / 3)
+
+
+def test_cohort_conversion_hot_key_exact(spark):
+    # one key holds most conversion rows (a third of all rows and more);
+    # the pre-aggregated plan must still give the exact row-grain counts
+    d0 = D(2024, 1, 10)
+    entries = [("hot", d0, "s"), ("hot", d0, "s"), ("k1", d0, "s"), ("k2", d0 + dt.timedelta(days=1), "s")]
+    convs = [("hot", d0 + dt.timedelta(days=i % 12 - 3)) for i in range(4000)] + \
+            [("k1", d0), ("k1", d0 + dt.timedelta(days=9))]
+    windows = {"t0": (None, 0), "t7": (None, 7), "w": (0, 7, -1)}
+    e = spark.createDataFrame(entries, "k string, eday date, seg string")
+    c = spark.createDataFrame(convs, "k string, cday date").repartition(16)
+    for grain in ("row", "entity"):
+        got = J.cohort_conversion(e, c, "k", "eday", "cday", ["seg"], windows, grain).collect()
+        want = _brute_cohort(entries, convs, windows, grain)
+        for r in got:
+            for name in windows:
+                assert (r[f"{name}_rows"], r[f"{name}_conv"]) == want[(r.eday, r.seg, name)], (grain, name)
