@@ -46,6 +46,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_SCRATCH_KEY = "tallyspark.scratch.dir"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -54,9 +57,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        # spark.checkpoint.dir cannot be set on a running session; a local
+        # scratch folder is remembered under our own key instead
+        current = spark.conf.get(_SCRATCH_KEY, None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
+            spark.conf.set(_SCRATCH_KEY, current)
+    try:  # classic sessions: also the RDD checkpoint folder (for checkpoint())
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 — e.g. a Spark Connect session has no SparkContext
+        pass
     return current
 
 
