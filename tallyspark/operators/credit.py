@@ -20,7 +20,7 @@ def first_payment_default(installments: DataFrame, listings: DataFrame,
     due count, principal, Σ(dpd_k·principal)/Σprincipal (``fpd{k}_amt``),
     the plain rate ``fpd{k}_cnt`` and their ratio ``fpd{k}_amt_to_cnt``.
     The listing supplies user type and product (LEFT JOIN: installments
-    without a listing keep NULL attributes).
+    without a listing keep NULL attributes).  Principal sums are decimals.
     """
     term1 = (installments
              .filter(F.col("asset_product").isin(*products)
@@ -43,10 +43,9 @@ def first_payment_default(installments: DataFrame, listings: DataFrame,
         cols[f"fpd{k}_amt"] = safe_div(f"dpd{k}_principal", "principal_sum")
         cols[f"fpd{k}_cnt"] = safe_div(f"dpd{k}_cnt", "due_cnt")
     g = g.withColumns(cols)
-    g = g.withColumns({f"fpd{k}_amt_to_cnt": F.try_divide(F.col(f"fpd{k}_amt"), F.col(f"fpd{k}_cnt"))
-                       for k in ages})
-    return g.withColumns({"principal_sum": F.col("principal_sum").cast("double")}
-                         | {f"dpd{k}_principal": F.col(f"dpd{k}_principal").cast("double") for k in ages})
+    # principal sums stay exact decimals, so callers can add groups exactly
+    return g.withColumns({f"fpd{k}_amt_to_cnt": F.try_divide(F.col(f"fpd{k}_amt"), F.col(f"fpd{k}_cnt"))
+                          for k in ages})
 
 
 def settled_loans(listings: DataFrame, installments: DataFrame, product: str) -> DataFrame:
