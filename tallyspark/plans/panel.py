@@ -56,12 +56,13 @@ def fused_panel_table(R, p: Params) -> DataFrame:
 def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
     """Production run of the panel.
 
-    1. Role slices are written once each (``plans.fused``), concurrently.
-    2. Each job's long metric rows are computed and written by the executors
-       under the run folder, concurrently (Spark runs jobs submitted from
-       several threads side by side).  A failing job is logged and skipped —
-       its metrics then show as ``missing`` in ``completeness`` — instead of
-       failing the panel.
+    1. All twenty jobs start at once (Spark runs jobs submitted from several
+       threads side by side).  A shared role slice (``plans.fused``) is
+       written once, by the first job that needs it; jobs needing the same
+       slice wait for that write, jobs on other roles go ahead.
+    2. Each job's long metric rows are written by the executors under the
+       run folder.  A failing job is logged and skipped — its metrics then
+       show as ``missing`` in ``completeness`` — instead of failing the panel.
     3. The metric table (last job wins on a shared name) and the attainment
        rows are computed from the written job outputs (~100 rows).
     Returns the panel table (as_of, job, metric, value) read from the run
@@ -69,12 +70,11 @@ def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from tallyspark.plans.fused import SHARED, PanelRoles
+    from tallyspark.plans.fused import PanelRoles
     from tallyspark.session import materialize
 
     S = PanelRoles(R, p)
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        list(pool.map(lambda name: getattr(S, name), SHARED))
 
         def one(i_job):
             i, (name, _, metrics) = i_job
@@ -87,6 +87,8 @@ def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
                     log(f"job {name} failed: {e}")
                 return None
         outs = [o for o in pool.map(one, enumerate(JOBS)) if o is not None]
+    if not outs:  # every job failed: an empty panel (completeness shows all missing)
+        return R.spark.createDataFrame([], "as_of date, job string, metric string, value double")
     u = outs[0]
     for o in outs[1:]:
         u = u.unionByName(o)
