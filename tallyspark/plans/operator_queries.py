@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import params as P
-from tallyspark.functions import attr, day, flag, safe_div
+from tallyspark.functions import attr, day, flag
 from tallyspark.operators import joins as J
 from tallyspark.operators import periods as T
 from tallyspark.operators import rollups as G
