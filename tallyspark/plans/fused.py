@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators.periods import day_between, day_in, latest_snapshot
 from tallyspark.params import Params
-from tallyspark.session import materialize
+from tallyspark.session import checkpoint_path, materialize, remove_path
 from tallyspark.sources.roles import Roles
 
 D = _dt.timedelta
@@ -62,7 +62,12 @@ class PanelRoles(Roles):
         return self.p.for_job(job).as_of
 
     def _save(self, name: str, df: DataFrame) -> DataFrame:
-        return materialize(df, f"panel-{self.run_id}/{name}")
+        return materialize(df, f"panel-{self.run_id}/slices/{name}")
+
+    def cleanup(self) -> None:
+        """Delete this run's role slices (call once every job has written its
+        output; the outputs themselves are kept)."""
+        remove_path(self.spark, checkpoint_path(self.spark, f"panel-{self.run_id}/slices"))
 
     def revolving_members(self) -> DataFrame:
         with self._lock("revolving_members"):

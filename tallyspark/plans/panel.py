@@ -63,8 +63,9 @@ def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
     2. Each job's long metric rows are written by the executors under the
        run folder.  A failing job is logged and skipped — its metrics then
        show as ``missing`` in ``completeness`` — instead of failing the panel.
-    3. The metric table (last job wins on a shared name) and the attainment
-       rows are computed from the written job outputs (~100 rows).
+    3. The role slices are deleted; the metric table (last job wins on a
+       shared name) and the attainment rows are computed from the written
+       job outputs (~100 rows).
     Returns the panel table (as_of, job, metric, value) read from the run
     folder; nothing but that table's rows can ever reach the driver.
     """
@@ -87,6 +88,8 @@ def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
                     log(f"job {name} failed: {e}")
                 return None
         outs = [o for o in pool.map(one, enumerate(JOBS)) if o is not None]
+    # every job output is written: the role slices are no longer read
+    S.cleanup()
     if not outs:  # every job failed: an empty panel (completeness shows all missing)
         return R.spark.createDataFrame([], "as_of date, job string, metric string, value double")
     u = outs[0]

@@ -72,11 +72,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def checkpoint_path(spark: SparkSession, name: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "materialized", name)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the Hadoop FileSystem of the path (local, HDFS,
+    object stores alike).  Returns False where that API is not reachable
+    (e.g. a Spark Connect client)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(hpath, True))
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder and
     reading it back.  Survives executor loss (unlike a local checkpoint)."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "materialized", name)
+    path = checkpoint_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
