@@ -53,7 +53,7 @@ def fused_panel_table(R, p: Params) -> DataFrame:
     return panel_table(PanelRoles(R, p), p)
 
 
-def run_panel(R, p: Params, workers: int = 20, log=None) -> DataFrame:
+def run_panel(R, p: Params, workers: int = 12, log=None) -> DataFrame:
     """Production run of the panel.
 
     1. All twenty jobs start at once (Spark runs jobs submitted from several
