@@ -9,16 +9,23 @@ Neither puts one key's rows into a single task:
   the key.  Rows are range-partitioned on (key, order, tie) — a hot key spans
   many range partitions — and numbered by position inside their partition;
   a small per-(partition, key) summary supplies the offset of rows of the
-  same key in earlier partitions.
+  same key in earlier partitions.  The partitioned rows are written once
+  (with their partition id and position as columns) and both the summary
+  and the final join read that copy: range bounds are sampled per exchange,
+  so two separately computed copies could disagree on them.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.session import materialize
+
 
 def first_event_per_key(df: DataFrame, key: str | Sequence[str], order: str, tie: str,
                         cols: Sequence[str] = ()) -> DataFrame:
@@ -41,6 +48,8 @@ def event_sequence(df: DataFrame, key: str, order: str, tie: str, name: str = "s
                 .withColumn("_mid", F.monotonically_increasing_id()))
     # position inside the partition (monotonic ids are pid<<33 + row index)
     ranged = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    # one durable copy: partition ids and positions become plain columns
+    ranged = materialize(ranged.drop("_mid"), f"sequence-{uuid.uuid4().hex[:12]}")
     summary = ranged.groupBy("_pid", key).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_cnt"))
     # rows of the same key in earlier range partitions; a key spans at most
     # ``n`` partitions, so each window partition here is small
@@ -48,4 +57,4 @@ def event_sequence(df: DataFrame, key: str, order: str, tie: str, name: str = "s
     summary = summary.withColumn("_carry", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     out = ranged.join(summary.select("_pid", key, "_start", "_carry"), ["_pid", key], "inner")
     seq = F.col("_carry") + F.col("_pos") - F.col("_start") + 1
-    return out.withColumn(name, seq.cast("int")).drop("_pid", "_mid", "_pos", "_start", "_carry")
+    return out.withColumn(name, seq.cast("int")).drop("_pid", "_pos", "_start", "_carry")
