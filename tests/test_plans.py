@@ -59,3 +59,35 @@ def test_day_list_cut_is_pushed_as_ranges(roles, params):
     plan = _plan(d)
     i = plan.find("PushedFilters")
     assert "Or(And(GreaterThanOrEqual(ts" in plan[i:i + 400]
+
+
+def test_period_cut_reaches_both_join_inputs(roles, params):
+    # J6 joins daily cost with daily conversions; the as_of cut must reach
+    # both scans, not only the driving side of the left join
+    p = params.for_job("static_cps")
+    plan = _plan(jobs.static_cps(roles, p, restrict=True))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 2
+    for s in scans:
+        i = s.find("PushedFilters")
+        assert "GreaterThanOrEqual(ts" in s[i:i + 400], s[i:i + 400]
+
+
+def test_fused_slices_built_once_under_concurrency(spark, params):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tallyspark.plans.fused import PanelRoles
+    from tallyspark.sources.roles import TestDataRoles
+
+    calls = []
+
+    class Counting(PanelRoles):
+        def _build(self, name):
+            calls.append(name)
+            return super()._build(name)
+
+    S = Counting(TestDataRoles(spark, "/root/testdata/sf0.001"), params)
+    with ThreadPoolExecutor(8) as pool:
+        frames = list(pool.map(lambda _: S.decisions, range(16)))
+    assert calls.count("decisions") == 1
+    assert all(f is frames[0] for f in frames)
