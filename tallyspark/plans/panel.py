@@ -8,6 +8,8 @@ reaches the driver.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from tallyspark.plans.catalogue import ATTAINMENT, LAYOUT, expected_catalogue
 from tallyspark.plans.jobs import JOBS
 
 
+_LOG = logging.getLogger("tallyspark.panel")
+
+
 def job_frames(R, p: Params) -> list[tuple[str, DataFrame]]:
     out = []
     for name, _, metrics in JOBS:
@@ -84,8 +89,7 @@ def run_panel(R, p: Params, workers: int = 12, log=None) -> DataFrame:
                 df = metrics(S, pj).withColumn("as_of", F.lit(pj.as_of)).withColumn("job_ordinal", F.lit(i))
                 return materialize(df, f"panel-{S.run_id}/jobs/{name}")
             except Exception as e:  # noqa: BLE001 — one failing job must not stop the panel
-                if log:
-                    log(f"job {name} failed: {e}")
+                (log or _LOG.warning)(f"panel job {name} failed and is skipped: {e}")
                 return None
         outs = [o for o in pool.map(one, enumerate(JOBS)) if o is not None]
     # every job output is written: the role slices are no longer read
