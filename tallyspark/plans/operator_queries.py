@@ -317,8 +317,11 @@ def metric_table_q(spark, sf_dir) -> DataFrame:
 
 
 def target_attainment_q(spark, sf_dir) -> DataFrame:
+    from tallyspark.plans.catalogue import ATTAINMENT, JOB_METRICS
     panel, R, p = _panel_ctx(spark, sf_dir)
-    t = panel.run_panel(R, p).filter(~F.col("metric").endswith("_att"))
+    bases = {base for _, base, _ in ATTAINMENT}
+    needed = {job for job, names in JOB_METRICS.items() if bases & set(names)}
+    t = panel.run_panel(R, p, jobs=needed).filter(~F.col("metric").endswith("_att"))
     return panel.attainment(R, p, t).select("as_of", "job", "metric", "base_metric", "target", "value")
 
 

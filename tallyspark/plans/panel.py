@@ -58,7 +58,7 @@ def fused_panel_table(R, p: Params) -> DataFrame:
     return panel_table(PanelRoles(R, p), p)
 
 
-def run_panel(R, p: Params, workers: int = 12, log=None) -> DataFrame:
+def run_panel(R, p: Params, workers: int = 12, log=None, jobs=None) -> DataFrame:
     """Production run of the panel.
 
     1. All twenty jobs start at once (Spark runs jobs submitted from several
@@ -73,6 +73,9 @@ def run_panel(R, p: Params, workers: int = 12, log=None) -> DataFrame:
        job outputs (~100 rows).
     Returns the panel table (as_of, job, metric, value) read from the run
     folder; nothing but that table's rows can ever reach the driver.
+    ``jobs`` limits the run to some job names (their ordinals, and so the
+    last-wins rule, stay those of the full panel); only the role slices those
+    jobs read are built.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -91,7 +94,8 @@ def run_panel(R, p: Params, workers: int = 12, log=None) -> DataFrame:
             except Exception as e:  # noqa: BLE001 — one failing job must not stop the panel
                 (log or _LOG.warning)(f"panel job {name} failed and is skipped: {e}")
                 return None
-        outs = [o for o in pool.map(one, enumerate(JOBS)) if o is not None]
+        chosen = [(i, j) for i, j in enumerate(JOBS) if jobs is None or j[0] in jobs]
+        outs = [o for o in pool.map(one, chosen) if o is not None]
     # every job output is written: the role slices are no longer read
     S.cleanup()
     if not outs:  # every job failed: an empty panel (completeness shows all missing)
