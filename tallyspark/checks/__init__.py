@@ -1,0 +1 @@
+"""Correctness tooling: independent DuckDB formulations and the compare tool."""

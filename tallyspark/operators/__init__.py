@@ -1,0 +1,2 @@
+"""Reusable DataFrame -> DataFrame operators: periods, rollups, joins,
+sequences, credit, panel and report."""

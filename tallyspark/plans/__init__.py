@@ -1,0 +1,2 @@
+"""The twenty metric jobs, the fused panel run, the catalogue and the
+registered operator queries."""

@@ -1,0 +1 @@
+"""Role views and table access."""

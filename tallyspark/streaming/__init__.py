@@ -1,0 +1 @@
+"""Structured Streaming daily refresh of the panel."""
