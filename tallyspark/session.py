@@ -98,4 +98,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = checkpoint_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is the one just written: no footer inference on read-back
+    return spark.read.schema(df.schema).parquet(path)
