@@ -67,3 +67,28 @@ def test_completeness_lists_every_metric(spark, params):
     assert len(rows) == 101
     assert {r.status for r in rows} <= {"ok", "null", "missing"}
     assert not [r for r in rows if r.status == "missing"]
+
+
+def test_failing_job_is_isolated(spark, params):
+    from tallyspark.plans import panel
+    from tallyspark.plans.jobs import JOBS
+    from tallyspark.sources.roles import TestDataRoles
+
+    idx = [n for n, _, _ in JOBS].index("static_cps")
+    original = JOBS[idx]
+
+    def broken(R, p):
+        raise RuntimeError("source table unavailable")
+
+    JOBS[idx] = (original[0], original[1], broken)
+    messages = []
+    try:
+        R = TestDataRoles(spark, "/root/testdata/sf0.001")
+        table = panel.run_panel(R, params, log=messages.append)
+        rows = panel.completeness(R, params, table).collect()
+    finally:
+        JOBS[idx] = original
+    missing = {r.metric for r in rows if r.status == "missing"}
+    assert missing == {"static_cps", "static_cps_att"}
+    assert any("static_cps" in m for m in messages)
+    assert len([r for r in rows if r.status != "missing"]) == 99
