@@ -215,3 +215,11 @@ def test_cohort_conversion_hot_key_exact(spark):
         for r in got:
             for name in windows:
                 assert (r[f"{name}_rows"], r[f"{name}_conv"]) == want[(r.eday, r.seg, name)], (grain, name)
+
+
+def test_report_missing_metric_prints_null(spark):
+    from tallyspark.operators.report import layout_frame, report_lines
+    layout = [("s", ["A {a:pct}, B {b:f1}, change {c:chg}, count {d:int}"])]
+    metrics = spark.createDataFrame([("a", 0.5), ("d", 12.9)], "metric string, value double")
+    (row,) = report_lines(metrics, layout_frame(spark, layout)).collect()
+    assert row.text == "A 50.0%, B null, change N/A, count 12"
