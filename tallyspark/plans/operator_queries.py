@@ -331,8 +331,15 @@ def metric_completeness_q(spark, sf_dir) -> DataFrame:
 
 
 def report_lines_q(spark, sf_dir) -> DataFrame:
+    import re
+
+    from tallyspark.plans.catalogue import ATTAINMENT, JOB_METRICS, LAYOUT
     panel, R, p = _panel_ctx(spark, sf_dir)
-    return panel.report(R, p, panel.run_panel(R, p))
+    shown = {m for _, lines in LAYOUT for line in lines for m in re.findall(r"\{([A-Za-z0-9_]+):", line)}
+    shown |= {base for att, base, _ in ATTAINMENT if att in shown}
+    # every job producing a shown name runs, so last-wins picks the same job
+    needed = {job for job, names in JOB_METRICS.items() if shown & set(names)}
+    return panel.report(R, p, panel.run_panel(R, p, jobs=needed))
 
 
 OPERATOR_QUERIES.update({
