@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, token_orc
+from . import byte_bpe, decontaminate, kn_quality, quality_rules, secrets, token_orc, toxicity
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
     "op2_token_orc": token_orc.op2_token_orc,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op9_kn_quality": kn_quality.op9_kn_quality,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
