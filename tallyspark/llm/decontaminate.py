@@ -184,6 +184,12 @@ def find_contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
                     F.coalesce("items", F.expr(f"cast(array() as array<{items.schema[item_id].dataType.simpleString()}>)")).alias("items")))
 
 
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) without a hit, unchanged."""
+    bad = find_contamination(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_hash"]), "left_anti")
+
+
 def digests(found: DataFrame) -> DataFrame:
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

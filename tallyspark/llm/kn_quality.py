@@ -177,6 +177,14 @@ def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
                     F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("kept")))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, ...) that are kept, unchanged."""
+    rows = docs.withColumn("text_hash_", F.xxhash64("text", "lang"))
+    bad = (classify(rows, labels, keep=("doc_id", "lang", "text_hash_")).where("not kept")
+           .select(F.col("doc_id").alias("bad_id"), F.col("text_hash_").alias("bad_hash")).distinct())
+    return rows.join(bad, rows["doc_id"].eqNullSafe(bad["bad_id"]) & (rows["text_hash_"] == bad["bad_hash"]), "left_anti").drop("text_hash_")
+
+
 def op9_kn_quality(spark, sf_dir: str) -> DataFrame:
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")).select(
         "doc_id", "perplexity", "threshold", "kept")
