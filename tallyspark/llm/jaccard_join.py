@@ -12,6 +12,8 @@ prefixes).  What is skipped, without losing a link between components:
 * lists with the members of another list: answered once for that member set;
 * within a list, entries whose length or place in the set can't reach the
   threshold (block skipping over the entries sorted by length);
+* entries whose bitmap (the parity of the set's shingles in BITMAP slots) differs
+  from every other's in more bits than two similar sets can differ in shingles;
 * pairs that the answers found so far already connect: a list is searched
   outwards from one set, and a set that is reached is not compared again.
 
@@ -42,6 +44,7 @@ from .common import (SPACE_WORD, Bloom, build_bloom, byte_table, chunks, doc_shi
 FOLD, IS_WORD = byte_table(True, SPACE_WORD)
 SKETCH_LOG2 = 20
 MAX_LIST = 4096
+BITMAP = 512
 
 
 def shingle_sets(column: pa.Array, k: int):
@@ -117,17 +120,82 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def parity_bits(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """BITMAP bits for each set: bit i says whether an odd number of its shingles fall on i.
+    Two sets' bitmaps differ in no more bits than the sets have shingles that are not in both."""
+    slot = ((h >> np.uint64(8)) % np.uint64(BITMAP)).astype(np.int64)
+    at = np.repeat(np.arange(len(cut) - 1), np.diff(cut)) * BITMAP + slot
+    odd = np.bincount(at, minlength=(len(cut) - 1) * BITMAP) & 1
+    return np.packbits(odd.astype(bool).reshape(-1, BITMAP), axis=1).view(np.uint64)
+
+
+def screen_lists(percent: int):
+    """Entries (token, s1, s2, n, pos, bits) of whole lists to those that a length, place or
+    bitmap bound does not part from every other entry of the list."""
+
+    def run(table: pa.Table) -> pa.Table:
+        token, s1, s2, n, pos = (table.column(c).to_numpy() for c in ("token", "s1", "s2", "n", "pos"))
+        order = np.lexsort((s2, s1, token))
+        token, s1, s2, n, pos = (x[order] for x in (token, s1, s2, n, pos))
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])])
+        keep = np.flatnonzero(new)
+        order = order[keep]
+        token, s1, s2, n, pos = (x[keep] for x in (token, s1, s2, n, pos))
+        raw = table.column("bits").to_pylist()
+        bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), -1)[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
+        live = np.zeros(len(token), bool)
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            for i in range(lo, hi - 1):
+                j = np.arange(i + 1, hi)
+                j = j[~(live[j] & live[i])] if live[i] else j
+                both = n[i] + n[j]
+                need = -(-percent * both // (100 + percent))
+                ok = (100 * n[j] >= percent * n[i]) & (100 * n[i] >= percent * n[j])
+                ok &= np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
+                j, both, need = j[ok], both[ok], need[ok]
+                if len(j):
+                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    j = j[differ <= both - 2 * need]
+                    if len(j):
+                        live[i] = live[j] = True
+        return pa.table({c: pa.array(x[live]) for c, x in (("token", token), ("s1", s1), ("s2", s2), ("n", n), ("pos", pos))})
+
+    return run
+
+
+def sets_of_classes(docs: DataFrame, text_col: str, k: int, screen: Bloom) -> DataFrame:
+    """(s1, s2, members) of the classes that pass the screen on s1, each once from a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple[int, int]] = set()
+        for b in batches:
+            got = []
+            for _, cut, h in shingle_sets(b.column(0), k):
+                keys = [set_key(h[x:y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                ok = screen.has(np.array([x for x, _ in keys], np.int64).view(np.uint64))
+                for i in np.flatnonzero(ok).tolist():
+                    if keys[i] not in met:
+                        met.add(keys[i])
+                        got.append((*keys[i], h[cut[i]:cut[i + 1]].tobytes()))
+            if got:
+                s1, s2, raw = zip(*got)
+                yield pa.RecordBatch.from_arrays([pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(raw, pa.binary())],
+                                                 names=["s1", "s2", "members"])
+
+    return docs.select(text_col).mapInArrow(run, "s1 long, s2 long, members binary")
+
+
 def prefixes(docs: DataFrame, text_col: str, k: int, percent: int, sketch, screen: Bloom | None) -> DataFrame:
-    """(token, s1, s2, n, pos) of each prefix shingle; with ``screen`` only those
-    that pass it, and (null token) the sets of the classes that keep any.  A task
-    emits a class once."""
+    """(token, s1, s2, n, pos, bits) of each prefix shingle, with ``screen`` only
+    of those that pass it, and only then with ``bits``.  A task emits a class once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load = np.frombuffer(sketch.value, np.int64)
         met: set[tuple[int, int]] = set()
         for b in batches:
             cols: dict[str, list] = {c: [] for c in ("token", "s1", "s2", "n", "pos")}
-            sets = []
+            bitmaps = []
             for _, cut, h in shingle_sets(b.column(0), k):
                 n = np.diff(cut)
                 doc = np.repeat(np.arange(len(n)), n)
@@ -145,22 +213,18 @@ def prefixes(docs: DataFrame, text_col: str, k: int, percent: int, sketch, scree
                     if key not in met:
                         met.add(key)
                         keys[i], new[i] = key, True
-                        if screen is not None:
-                            sets.append((*key, int(n[i]), h[cut[i]:cut[i + 1]].tobytes()))
                 ok = new[of]
                 token, of, pos = token[ok], of[ok], pos[ok]
+                if screen is not None:
+                    maps = parity_bits(h, cut)
+                    bitmaps += [maps[i].tobytes() for i in of.tolist()]
                 for c, v in zip(cols, (token.view(np.int64), keys[of, 0], keys[of, 1], n[of], pos)):
                     cols[c].append(v)
             flat = [np.concatenate([np.zeros(0, np.int64), *v]).astype(np.int64) for v in cols.values()]
-            empty = pa.nulls(len(flat[0]), pa.binary())
-            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in flat], empty], names=[*cols, "members"])
-            if sets:
-                s1, s2, n, raw = zip(*sets)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(n), pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(n, pa.int64()),
-                     pa.nulls(len(n), pa.int64()), pa.array(raw, pa.binary())], names=[*cols, "members"])
+            bits = pa.array(bitmaps, pa.binary()) if screen is not None else pa.nulls(len(flat[0]), pa.binary())
+            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in flat], bits], names=[*cols, "bits"])
 
-    return docs.select(text_col).mapInArrow(run, "token long, s1 long, s2 long, n long, pos long, members binary")
+    return docs.select(text_col).mapInArrow(run, "token long, s1 long, s2 long, n long, pos long, bits binary")
 
 
 class Solver:
@@ -284,25 +348,29 @@ def link_classes(docs: DataFrame, text_col: str = "text", k: int = 3, percent: i
     """(s1, s2, c1, c2) for every class that is linked with another one."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(count_sketch(docs, text_col, k).tobytes())  # 2**SKETCH_LOG2 * 8 bytes
-    key = F.struct("s1", "s2")
-    # shingles in the prefixes of two classes or more
-    live = save(prefixes(docs, text_col, k, percent, sketch, None).groupBy("token")
-                .agg(F.min(key).alias("a"), F.max(key).alias("b")).where("a <> b").select("token"), "jaccard-live")
-    rows = save(prefixes(docs, text_col, k, percent, sketch, build_bloom(live, "token")), "jaccard-prefixes")
-    entries = (rows.where("token is not null").join(live, "token", "left_semi")
-               .groupBy("token", "s1", "s2").agg(F.first("n").alias("n"), F.first("pos").alias("pos")))
-    entries = save(entries, "jaccard-lists")
     h = F.xxhash64("s1", "s2")
+    # shingles in the prefixes of two classes or more
+    live = (prefixes(docs, text_col, k, percent, sketch, None).select("token", h.alias("h")).groupBy("token")
+            .agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count("*").alias("c")).where("a <> b").select("token", "c"))
+    live = save(live, "jaccard-live")
+    rows = prefixes(docs, text_col, k, percent, sketch, build_bloom(live, "token")).join(live, "token")
+    shards = n_shards(live.agg(F.sum("c")).first()[0] or 0, 100_000, 16)
+    rows = save(rows, "jaccard-prefixes")
+    plain = "token long, s1 long, s2 long, n long, pos long"
+    short = (rows.where(F.col("c") <= max_list).withColumn("shard", F.pmod(F.xxhash64("token"), F.lit(shards)))
+             .groupBy("shard").applyInArrow(screen_lists(percent), plain))
+    long = rows.where(F.col("c") > max_list).groupBy("token", "s1", "s2").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
+    entries = save(short.union(long), "jaccard-lists")
     # lists with equal members are one
     lists = (entries.groupBy("token").agg(
         F.count("*").alias("size"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("y"))
         .where("size > 1").groupBy("size", "x", "y").agg(F.min("token").alias("token")))
     lists = save(lists.select("token", "size"), "jaccard-distinct")
-    sets = rows.where("token is null").groupBy("s1", "s2").agg(F.first("members").alias("members"))
     block = F.when(F.col("size") > max_list, F.pmod(h, F.ceil(F.col("size") / max_list))).otherwise(F.lit(0))
     members = entries.join(lists, "token").withColumn("block", block.cast("int"))
     bytes_in = members.agg(F.sum("n")).first()[0] or 0
     shards = n_shards(8 * bytes_in, 24 << 20, 16)
+    sets = sets_of_classes(docs, text_col, k, build_bloom(members.select("s1").distinct(), "s1")).dropDuplicates(["s1", "s2"])
     full = members.join(sets, ["s1", "s2"])
 
     def solved(frame: DataFrame, list_key, groups: bool) -> DataFrame:
