@@ -54,7 +54,7 @@ def encode_words(tok, words: list[str], per_call: int = 1000) -> list[bytes]:
     alone = [i for i, w in enumerate(words) if mark is None or mark[0] in w]
     for i, e in zip(alone, tok.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
         out[i] = np.array(e.ids, np.int32).tobytes()
-    rest = sorted(set(range(len(words))).difference(alone))
+    rest = [i for i, w in enumerate(words) if mark is not None and mark[0] not in w]
     for lo in range(0, len(rest), 64 * per_call):
         groups = [rest[i:i + per_call] for i in range(lo, min(lo + 64 * per_call, len(rest)), per_call)]
         texts = [f" {mark[0]} ".join(words[i] for i in g) for g in groups]
@@ -89,11 +89,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, by
                 b = whole.slice(lo, 4096)
                 words = [(t or "").replace("\n", " ").split(" ") for t in b.column(1).to_pylist()]
                 ids = {w: kept.get(w) for w in {w for ws in words for w in ws}}
-                new = [w for w, x in ids.items() if x is None]
+                missed = [w for w, x in ids.items() if x is None]
+                # a full stop or comma behind an ASCII letter is a token of its own
+                stems = {w: w[:-1] for w in missed if w[-1] in ".," and "a" <= w[-2:-1].lower() <= "z"}
+                known = {w: kept.get(w) for w in [*set(stems.values()), ".", ","]}
+                new = list({w for w in missed if w not in stems}.union(w for w, x in known.items() if x is None))
                 for w, x in zip(new, encode_words(tok, new)):
-                    ids[w] = x
+                    known[w] = x
                     if len(w) <= 64:
                         kept.put(w, x)
+                for w in missed:
+                    ids[w] = known[stems[w]] + known[w[-1]] if w in stems else known[w]
                 packed = [b"".join(map(ids.__getitem__, ws)) + end for ws in words]
                 n = np.array([len(x) // 4 for x in packed], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(n)])
