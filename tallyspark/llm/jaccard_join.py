@@ -10,6 +10,8 @@ prefixes).  What is skipped, without losing a link between components:
 * equal sets: answered once for their class;
 * prefix shingles of a single class: no list;
 * lists with the members of another list: answered once for that member set;
+* lists that tie MAX_FAMILY classes or fewer together: answered as one list, so
+  that a set is read once;
 * within a list, entries whose length or place in the set can't reach the
   threshold (block skipping over the entries sorted by length);
 * entries whose bitmap (the parity of the set's shingles in BITMAP slots) differs
@@ -45,6 +47,7 @@ FOLD, IS_WORD = byte_table(True, SPACE_WORD)
 SKETCH_LOG2 = 20
 MAX_LIST = 4096
 BITMAP = 512
+MAX_FAMILY = 1024
 
 
 def shingle_sets(column: pa.Array, k: int):
@@ -367,7 +370,18 @@ def link_classes(docs: DataFrame, text_col: str = "text", k: int = 3, percent: i
         .where("size > 1").groupBy("size", "x", "y").agg(F.min("token").alias("token")))
     lists = save(lists.select("token", "size"), "jaccard-distinct")
     block = F.when(F.col("size") > max_list, F.pmod(h, F.ceil(F.col("size") / max_list))).otherwise(F.lit(0))
-    members = entries.join(lists, "token").withColumn("block", block.cast("int"))
+    members = save(entries.join(lists, "token").withColumn("block", block.cast("int")), "jaccard-members")
+    # classes that lists tie together, directly or not, are solved as one list where they are few
+    pivot = F.min(F.struct("s1", "s2")).alias("p")
+    tied = members.join(members.groupBy("token").agg(pivot), "token").select(
+        F.col("p.s1").alias("a1"), F.col("p.s2").alias("a2"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
+    family = save(components(tied), "jaccard-families")
+    few = family.groupBy("c1", "c2").agg(F.count("*").alias("size")).where(F.col("size") <= MAX_FAMILY).select("c1", "c2")
+    few = family.join(few, ["c1", "c2"]).select("s1", "s2", F.xxhash64("c1", "c2").alias("family"))
+    apart = members.join(few, ["s1", "s2"], "left_anti").select("token", "s1", "s2", "n", "pos", "size", "block")
+    together = members.join(few, ["s1", "s2"]).groupBy("family", "s1", "s2").agg(F.first("n").alias("n")).select(
+        F.col("family").alias("token"), "s1", "s2", "n", F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("size"), F.lit(0).alias("block"))
+    members = save(apart.union(together), "jaccard-members")
     bytes_in = members.agg(F.sum("n")).first()[0] or 0
     shards = n_shards(8 * bytes_in, 24 << 20, 16)
     sets = sets_of_classes(docs, text_col, k, build_bloom(members.select("s1").distinct(), "s1")).dropDuplicates(["s1", "s2"])
