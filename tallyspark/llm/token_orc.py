@@ -88,7 +88,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, by
             for lo in range(0, whole.num_rows, 4096):
                 b = whole.slice(lo, 4096)
                 words = [(t or "").replace("\n", " ").split(" ") for t in b.column(1).to_pylist()]
-                ids = {w: kept.get(w) for w in {w for ws in words for w in ws}}
+                ids = {w: kept.get(w) if w else b"" for w in {w for ws in words for w in ws}}
                 missed = [w for w, x in ids.items() if x is None]
                 # a full stop or comma behind an ASCII letter is a token of its own
                 stems = {w: w[:-1] for w in missed if w[-1] in ".," and "a" <= w[-2:-1].lower() <= "z"}

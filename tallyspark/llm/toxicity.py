@@ -11,9 +11,9 @@ Learning uses labelled rows whose crc32(id) mod 5 is not 0, at most
 remainder 1 are kept from the trees and calibrate their margin by isotonic
 regression.  Labels, language, source and id are no features.
 
-Defined results: a null or empty text has all features 0 and gets a score; with
-no training rows, or of one label only, the score is that label's share (0
-without any); a document labelled twice is toxic if any label says so; repeated
+Defined results: a null or empty text has all features 0 and gets a score; where
+the training rows don't hold both labels and some rows to calibrate by, the
+score is the share of label 1 among them (0 without any); a document labelled twice is toxic if any label says so; repeated
 rows are scored each.
 """
 
@@ -182,18 +182,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     lexicon = learn_lexicon(texts, n_of.get(1.0, 0), n_of.get(0.0, 0))
     rows = save(with_features(docs, [id_col], text_col, lexicon), "toxic-features")
     held = (fold_of(id_col) == 0).alias("held_out")
-    if len(n_of) < 2:
-        return rows.select(id_col, held, *FEATURES, F.lit(float(next(iter(n_of), 0.0))).alias("score"))
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     train = save(assemble.transform(rows.join(F.broadcast(chosen), rows[id_col] == chosen["train_id"])
                                     .select(*FEATURES, "label", (fold_of(id_col) == 1).alias("for_scale"))).coalesce(6), "toxic-learn")
+    parts = {(r["for_scale"], r["label"]): r["n"] for r in train.groupBy("for_scale", "label").agg(F.count("*").alias("n")).collect()}
+    if not ({(False, 0.0), (False, 1.0)} <= set(parts) and any(scale for scale, _ in parts)):
+        share = sum(n for (_, label), n in parts.items() if label == 1) / max(1, sum(parts.values()))
+        return rows.select(id_col, held, *FEATURES, F.lit(float(share)).alias("score"))
     gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, maxBins=32, seed=7)
     model = gbt.fit(train.where("not for_scale"))
     margin = vector_to_array("rawPrediction")[1].alias("margin")
     scale = model.transform(train.where("for_scale")).select(margin, "label")
     fit = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(scale)
-    if not fit.numFeatures:  # no rows to calibrate by
-        return rows.select(id_col, held, *FEATURES, F.lit(0.0).alias("score"))
     return fit.transform(model.transform(assemble.transform(rows)).select(id_col, held, *FEATURES, margin)).select(
         id_col, "held_out", *FEATURES, "score")
 
