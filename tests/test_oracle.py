@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as E
 from tallyspark.checks.compare import TABLES, _rows
+from tallyspark.queries import all_queries
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(all_queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
     assert len(NAMES) == 57
 
 
