@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: An odd multiplier and its inverse modulo 2**64.
 MULT = 0x9E3779B97F4A7C15
 MULT_INV = pow(MULT, -1, 1 << 64)

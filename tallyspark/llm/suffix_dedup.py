@@ -41,7 +41,7 @@ from .common import MULT, MULT_INV, Bloom, build_bloom, chunks, mix64, n_shards,
 
 LENGTH, GRAM = 200, 48
 MAX_PIECES = 20_000
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 SPANS = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
 
 
