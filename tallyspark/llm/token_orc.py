@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import Kept, n_shards, of_process, scratch_path, text_bytes
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
-KEPT_WORDS = 300_000
+KEPT_WORDS = 250_000
 
 
 def find_mark(tok) -> tuple[str, int] | None:
@@ -85,8 +85,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, by
         start = 0
         end = np.array([end_id], np.int32).tobytes()
         for whole in batches:
-            for lo in range(0, whole.num_rows, 4096):
-                b = whole.slice(lo, 4096)
+            for lo in range(0, whole.num_rows, 1024):
+                b = whole.slice(lo, 1024)
                 words = [(t or "").replace("\n", " ").split(" ") for t in b.column(1).to_pylist()]
                 ids = {w: kept.get(w) if w else b"" for w in {w for ws in words for w in ws}}
                 missed = [w for w, x in ids.items() if x is None]
