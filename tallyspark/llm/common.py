@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20
+#: Spark removes the shuffle files of a query when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: An odd multiplier and its inverse modulo 2**64.
 MULT = 0x9E3779B97F4A7C15
 MULT_INV = pow(MULT, -1, 1 << 64)
@@ -49,10 +51,19 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
 
 def save(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the result is
-    computed once and outlives any executor."""
+    computed once and outlives any executor.  The shuffle files behind it go
+    when it is written: nothing reads them again."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (SPACE_WORD, Bloom, build_bloom, byte_table, chunks, doc_shingles, find_words, hash_spans, n_shards, save)
+from .common import (SPACE_WORD, Bloom, build_bloom, byte_table, chunks, doc_shingles, drop_saved, find_words, hash_spans, n_shards, save)
 
 FOLD, IS_WORD = byte_table(True, SPACE_WORD)
 SKETCH_LOG2 = 20
@@ -335,7 +335,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(down.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
-        now = save(small, "jaccard-edges")
+        last, now = now, save(small, "jaccard-edges")
+        drop_saved(last)
         is_now = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if is_now == mark:
             break
@@ -359,29 +360,34 @@ def link_classes(docs: DataFrame, text_col: str = "text", k: int = 3, percent: i
     rows = prefixes(docs, text_col, k, percent, sketch, build_bloom(live, "token")).join(live, "token")
     shards = n_shards(live.agg(F.sum("c")).first()[0] or 0, 100_000, 16)
     rows = save(rows, "jaccard-prefixes")
+    drop_saved(live)
     plain = "token long, s1 long, s2 long, n long, pos long"
     short = (rows.where(F.col("c") <= max_list).withColumn("shard", F.pmod(F.xxhash64("token"), F.lit(shards)))
              .groupBy("shard").applyInArrow(screen_lists(percent), plain))
     long = rows.where(F.col("c") > max_list).groupBy("token", "s1", "s2").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
     entries = save(short.union(long), "jaccard-lists")
+    drop_saved(rows)
     # lists with equal members are one
     lists = (entries.groupBy("token").agg(
         F.count("*").alias("size"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("y"))
         .where("size > 1").groupBy("size", "x", "y").agg(F.min("token").alias("token")))
     lists = save(lists.select("token", "size"), "jaccard-distinct")
     block = F.when(F.col("size") > max_list, F.pmod(h, F.ceil(F.col("size") / max_list))).otherwise(F.lit(0))
-    members = save(entries.join(lists, "token").withColumn("block", block.cast("int")), "jaccard-members")
+    listed = save(entries.join(lists, "token").withColumn("block", block.cast("int")), "jaccard-members")
+    drop_saved(entries)
     # classes that lists tie together, directly or not, are solved as one list where they are few
     pivot = F.min(F.struct("s1", "s2")).alias("p")
-    tied = members.join(members.groupBy("token").agg(pivot), "token").select(
+    tied = listed.join(listed.groupBy("token").agg(pivot), "token").select(
         F.col("p.s1").alias("a1"), F.col("p.s2").alias("a2"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
     family = save(components(tied), "jaccard-families")
     few = family.groupBy("c1", "c2").agg(F.count("*").alias("size")).where(F.col("size") <= MAX_FAMILY).select("c1", "c2")
     few = family.join(few, ["c1", "c2"]).select("s1", "s2", F.xxhash64("c1", "c2").alias("family"))
-    apart = members.join(few, ["s1", "s2"], "left_anti").select("token", "s1", "s2", "n", "pos", "size", "block")
-    together = members.join(few, ["s1", "s2"]).groupBy("family", "s1", "s2").agg(F.first("n").alias("n")).select(
+    apart = listed.join(few, ["s1", "s2"], "left_anti").select("token", "s1", "s2", "n", "pos", "size", "block")
+    together = listed.join(few, ["s1", "s2"]).groupBy("family", "s1", "s2").agg(F.first("n").alias("n")).select(
         F.col("family").alias("token"), "s1", "s2", "n", F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("size"), F.lit(0).alias("block"))
     members = save(apart.union(together), "jaccard-members")
+    drop_saved(listed)
+    drop_saved(family)
     bytes_in = members.agg(F.sum("n")).first()[0] or 0
     shards = n_shards(8 * bytes_in, 24 << 20, 16)
     sets = sets_of_classes(docs, text_col, k, build_bloom(members.select("s1").distinct(), "s1")).dropDuplicates(["s1", "s2"])
