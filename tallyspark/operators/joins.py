@@ -24,7 +24,7 @@ def _keys(on) -> list[str]:
 
 def cohort_conversion(entry: DataFrame, conv: DataFrame, on: str | Sequence[str],
                       entry_day: str, conv_day: str, segments: Sequence[str] = (),
-                      windows: dict | None = None, grain: str = "row") -> DataFrame:
+                      windows: dict | None = None, grain: str = "row", weight: str | None = None) -> DataFrame:
     """Conversion of an entry cohort (per entry day and segment).
 
     ``entry`` has the join key(s), ``entry_day`` and ``segments``; ``conv`` has
@@ -38,7 +38,8 @@ def cohort_conversion(entry: DataFrame, conv: DataFrame, on: str | Sequence[str]
     grain ``row`` reproduces a LEFT JOIN followed by AVG over joined rows:
     an entry with m matches is m rows, one without matches is one row.
     grain ``entity`` counts each entry once: converted if any match is in
-    the window.
+    the window.  ``weight`` is a column of ``conv``: that many joined rows stand
+    behind each of its rows (1 without it).
 
     Output: ``entry_day``, segments, and per window ``<w>_rows``,
     ``<w>_conv``, ``<w>_rate``.
@@ -47,7 +48,7 @@ def cohort_conversion(entry: DataFrame, conv: DataFrame, on: str | Sequence[str]
     windows = windows or {"t0": (None, 0)}
     e = entry.groupBy(*keys, entry_day, *segments).agg(F.count(F.lit(1)).alias("_m"))
     # a conversion row with a NULL day still counts as a joined row (it never converts)
-    c = conv.groupBy(*keys, conv_day).agg(F.count(F.lit(1)).alias("_n"))
+    c = conv.groupBy(*keys, conv_day).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     j = e.join(c, keys, "left")
     diff = F.datediff(F.col(conv_day), F.col(entry_day))
     per_entry = []
@@ -111,6 +112,15 @@ def membership_flag(df: DataFrame, members: DataFrame, key: str, name: str = "is
               .drop("_hit"))
 
 
+def with_versions(df: DataFrame, versions: DataFrame, key: str, name: str) -> DataFrame:
+    """How many rows a LEFT JOIN to ``versions`` on ``key`` makes of each row of
+    ``df``, as a column instead of the rows: the number of versions of its key, 1
+    where there is none.  ``versions`` is counted by key first, so the join
+    matches one row at most."""
+    n = versions.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    return df.join(n, key, "left").withColumn(name, F.coalesce(name, F.lit(1).cast("bigint")))
+
+
 def chained_enrichment(base: DataFrame, steps: Sequence[tuple[DataFrame, str | Sequence[str]]]) -> DataFrame:
     """A -> B -> C left joins: each step adds the columns of a dimension keyed
     by a column already present (row fan-out of duplicate keys is kept)."""

@@ -53,29 +53,40 @@ def day_in(df: DataFrame, c: str, days: Iterable[_dt.date]) -> Column:
 
 
 def period_filter(df: DataFrame, date_col: str, as_of: _dt.date, kind: str = "mtd",
-                  n: int | None = None, days: Iterable[_dt.date] | None = None) -> DataFrame:
+                  n: int | None = None, days: Iterable[_dt.date] | None = None,
+                  part: str | None = None) -> DataFrame:
     """Keep rows of a reporting period relative to ``as_of``.
 
+    ``part`` names a partition column that holds the day of ``date_col`` (the
+    role's contract): the same days are cut on it too, so that only their
+    partitions are read.
+
     kind: ``mtd`` month start .. as_of; ``open_mtd`` month start .. (no end);
     ``trailing`` as_of-n .. as_of; ``two_day`` as_of-1, as_of;
     ``days`` an explicit list; ``since`` as_of-n .. (no end).
     """
+    days = list(days) if days is not None else None
+    cond = _period(df, date_col, as_of, kind, n, days)
+    if part is not None:
+        cond = cond & _period(df, part, as_of, kind, n, days)
+    return df.filter(cond)
+
+
+def _period(df: DataFrame, date_col: str, as_of: _dt.date, kind: str, n: int | None, days: list | None) -> Column:
     ms = as_of.replace(day=1)
     if kind == "mtd":
-        cond = day_between(df, date_col, ms, as_of)
-    elif kind == "open_mtd":
-        cond = day_between(df, date_col, ms, None)
-    elif kind == "trailing":
-        cond = day_between(df, date_col, as_of - _dt.timedelta(days=n), as_of)
-    elif kind == "since":
-        cond = day_between(df, date_col, as_of - _dt.timedelta(days=n), None)
-    elif kind == "two_day":
-        cond = day_in(df, date_col, [as_of, as_of - _dt.timedelta(days=1)])
-    elif kind == "days":
-        cond = day_in(df, date_col, days)
-    else:
-        raise ValueError(kind)
-    return df.filter(cond)
+        return day_between(df, date_col, ms, as_of)
+    if kind == "open_mtd":
+        return day_between(df, date_col, ms, None)
+    if kind == "trailing":
+        return day_between(df, date_col, as_of - _dt.timedelta(days=n), as_of)
+    if kind == "since":
+        return day_between(df, date_col, as_of - _dt.timedelta(days=n), None)
+    if kind == "two_day":
+        return day_in(df, date_col, [as_of, as_of - _dt.timedelta(days=1)])
+    if kind == "days":
+        return day_in(df, date_col, days)
+    raise ValueError(kind)
 
 
 def latest_snapshot(df: DataFrame, part_col: str = "dt") -> DataFrame:

@@ -91,7 +91,7 @@ class PanelRoles(Roles):
                 "limit_to_bid_dod", "register_to_limit_dod", "bid_panel_rollup"]
         lo = min(min(self._a(j).replace(day=1), self._a(j) - D(days=8)) for j in jobs)
         d = self.base.decisions
-        return d.filter(day_between(d, "inserttime", lo, None))
+        return d.filter(day_between(d, "inserttime", lo, None) & day_between(d, "dt", lo, None))
 
     def _slice_loans(self) -> DataFrame:
         lo = min(self._a("bnpl_deal_panel").replace(day=1), self._a("revolving_withdraw_dod") - D(days=1))

@@ -25,7 +25,7 @@ from tallyspark import params as P
 from tallyspark.functions import attr, day, flag, safe_div
 from tallyspark.operators.credit import first_payment_default, settled_loans
 from tallyspark.operators.joins import (allow_list_join, chained_enrichment, cohort_conversion,
-                                        cost_per_acquisition, membership_flag, same_day_conversion)
+                                        cost_per_acquisition, membership_flag, same_day_conversion, with_versions)
 from tallyspark.operators.panel import day_over_day_change, to_long
 from tallyspark.operators.periods import latest_snapshot, period_filter
 from tallyspark.operators.rollups import daily_rollup, funnel_ratio, mtd_cumulative
@@ -131,7 +131,7 @@ def daily_loan_panel_metrics(R, p: P.Params) -> DataFrame:
 def bid_pass_rate_daily(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d = R.decisions
     if restrict:
-        d = period_filter(d, "inserttime", p.as_of, "mtd")
+        d = period_filter(d, "inserttime", p.as_of, "mtd", part="dt")
     d = d.filter(_biz(P.BIZ_LISTING_REVOLVING) & _eq_int("is_reloan", 1))
     g = d.groupBy(day("inserttime").alias("dt")).agg(
         F.avg(attr("process_flag", "int")).alias("pass_rate"),
@@ -290,7 +290,7 @@ def settled_loans_metrics(R, p: P.Params) -> DataFrame:
 def limit_application_panel(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d = R.decisions
     if restrict:
-        d = period_filter(d, "inserttime", p.as_of, "mtd")
+        d = period_filter(d, "inserttime", p.as_of, "mtd", part="dt")
     wl = attr("is_white_list")
     d = d.filter(_biz(*P.BIZ_LIMIT_ALL) & ((wl.try_cast("int") == 0) | wl.isNull()))
     x = d.select("user_id", "flow_id", day("inserttime").alias("limit_date"),
@@ -334,6 +334,7 @@ def revolving_users(R, p: P.Params) -> DataFrame:
         return R.revolving_members()
     since = F.lit(p.revolving_since.isoformat(sep=" "))   # text: cast to the column's type
     d = R.decisions.filter(_biz(P.BIZ_REVOLVING) & (F.col("inserttime") >= since)
+                           & (F.col("dt") >= F.lit(p.revolving_since.date()))
                            & (attr("is_cyclic") == "true"))
     return d.select("user_id").distinct()
 
@@ -397,16 +398,16 @@ def ticket_size_and_term_metrics(R, p: P.Params) -> DataFrame:
 def limit_to_withdraw_t0_t7(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d = R.decisions
     if restrict:
-        d = period_filter(d, "inserttime", p.as_of, "days", days=[p.as_of, p.days_before(7)])
+        d = period_filter(d, "inserttime", p.as_of, "days", days=[p.as_of, p.days_before(7)], part="dt")
     lim = d.filter(_biz(*P.BIZ_LIMIT_CASH) & _eq_int("is_white_list", 0) & (attr("process_flag") == "1"))
     entry = lim.select("flow_id", day("inserttime").alias("limit_day"), attr("is_reloan").alias("is_reloan"))
     mid = (R.limit_loan.filter(F.col("asset_product") == p.cash_product)
-           .select(F.col("limit_flow_no").alias("flow_id"), day("withdraw_time").alias("withdraw_day")))
-    # The reference also LEFT JOINs the loan list on listing_id without using
-    # its columns; the loan list is unique per listing_id, so that join cannot
-    # change a count and is not planned.
+           .select(F.col("limit_flow_no").alias("flow_id"), "listing_id", day("withdraw_time").alias("withdraw_day")))
+    versions = R.loans.filter((F.col("isactive") == 1) & F.col("asset_product").isNotNull()
+                              & (F.col("bid_stage") >= F.lit(P.STAGE_MIN)))
+    mid = with_versions(mid, versions, "listing_id", "versions")
     return cohort_conversion(entry, mid, "flow_id", "limit_day", "withdraw_day", ["is_reloan"],
-                             {"t0": (None, 0), "t7": (None, 7)}, grain=p.grain)
+                             {"t0": (None, 0), "t7": (None, 7)}, grain=p.grain, weight="versions")
 
 
 def limit_to_withdraw_t0_t7_metrics(R, p: P.Params) -> DataFrame:
@@ -447,7 +448,7 @@ def register_to_limit_t0_t7(R, p: P.Params, restrict: bool = False) -> DataFrame
     dec = R.decisions
     if restrict:
         reg = period_filter(reg, "register_time", p.as_of, "days", days=[p.as_of, p.days_before(7)])
-        dec = period_filter(dec, "inserttime", p.as_of, "since", n=8)
+        dec = period_filter(dec, "inserttime", p.as_of, "since", n=8, part="dt")
     cus = reg.select("user_id", day("register_time").alias("reg_day"))
     source = R.register_channel.filter(~F.col("fst_level_channel").isin(*p.excluded_channels))
     entry = allow_list_join(cus, source, "user_id")
@@ -546,18 +547,17 @@ def bnpl_deal_panel_metrics(R, p: P.Params) -> DataFrame:
 def same_day_withdraw_dod(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d = R.decisions
     if restrict:
-        d = period_filter(d, "inserttime", p.as_of, "two_day")
+        d = period_filter(d, "inserttime", p.as_of, "two_day", part="dt")
     lim = d.filter(_biz(*P.BIZ_LIMIT_CASH) & _eq_int("is_white_list", 0) & (attr("process_flag") == "1")
                    & _eq_int("is_reloan", 1))
     entry = lim.select("flow_id", day("inserttime").alias("limit_day"),
                        F.when(_eq_int("paid_loans_cnt", 1), "n2o").otherwise("other").alias("loan_type"))
     m = (R.limit_loan.filter(F.col("asset_product") == p.cash_product)
-         .select(F.col("limit_flow_no").alias("flow_id"),
+         .select(F.col("limit_flow_no").alias("flow_id"), "listing_id",
                  F.when(F.col("listing_id").isNotNull(), day("withdraw_time")).alias("withdraw_day")))
-    # the loan-list join (ON listing_id AND stage >= '80') only fans out on a
-    # duplicated listing_id; the loan list is unique per listing, so it is not planned
+    m = with_versions(m, R.loans.filter(F.col("bid_stage") >= F.lit(P.STAGE_MIN)), "listing_id", "versions")
     c = cohort_conversion(entry, m, "flow_id", "limit_day", "withdraw_day", ["loan_type"],
-                          {"wd": (0, 0)}, grain=p.grain)
+                          {"wd": (0, 0)}, grain=p.grain, weight="versions")
     c = c.select("limit_day", "loan_type", F.col("wd_rows").alias("row_cnt"),
                  F.col("wd_conv").alias("withdraw_cnt"), F.col("wd_rate").alias("withdraw_rate"))
     return day_over_day_change(c, ["loan_type"], "limit_day", "withdraw_rate", "withdraw_rate_dod")
@@ -585,7 +585,7 @@ def same_day_withdraw_dod_metrics(R, p: P.Params) -> DataFrame:
 def revolving_withdraw_dod(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d, loans = R.decisions, R.loans
     if restrict:
-        d = period_filter(d, "inserttime", p.as_of, "two_day")
+        d = period_filter(d, "inserttime", p.as_of, "two_day", part="dt")
         loans = period_filter(loans, "withdraw_time", p.as_of, "two_day")
     lim = (d.filter(_biz(P.BIZ_REVOLVING) & _eq_int("is_reloan", 1) & (attr("is_cyclic") == "true"))
             .select("user_id", day("inserttime").alias("limit_day"),
@@ -620,7 +620,7 @@ def revolving_withdraw_dod_metrics(R, p: P.Params) -> DataFrame:
 def limit_to_bid_dod(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d = R.decisions
     if restrict:
-        d = period_filter(d, "inserttime", p.as_of, "two_day")
+        d = period_filter(d, "inserttime", p.as_of, "two_day", part="dt")
     lim = d.filter(_biz(*P.BIZ_LIMIT_CASH) & _eq_int("is_white_list", 0) & (attr("process_flag") == "1")
                    & _eq_int("is_reloan", 0))
     entry = lim.select("flow_id", day("inserttime").alias("limit_day"),
@@ -655,7 +655,7 @@ def register_to_limit_dod(R, p: P.Params, restrict: bool = False) -> DataFrame:
     d = R.decisions
     if restrict:
         reg = period_filter(reg, "register_time", p.as_of, "two_day")
-        d = period_filter(d, "inserttime", p.as_of, "two_day")
+        d = period_filter(d, "inserttime", p.as_of, "two_day", part="dt")
     r = reg.select("user_id", day("register_time").alias("reg_day"))
     lim = (d.filter(_biz(*P.BIZ_LIMIT_CASH) & _eq_int("is_white_list", 0))
             .select("user_id", day("inserttime").alias("lim_day")))

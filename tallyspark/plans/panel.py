@@ -58,7 +58,7 @@ def fused_panel_table(R, p: Params) -> DataFrame:
     return panel_table(PanelRoles(R, p), p)
 
 
-def run_panel(R, p: Params, workers: int = 12, log=None, jobs=None) -> DataFrame:
+def run_panel(R, p: Params, workers: int = 12, log=None, strict: bool = True) -> DataFrame:
     """Production run of the panel.
 
     1. All twenty jobs start at once (Spark runs jobs submitted from several
@@ -66,8 +66,9 @@ def run_panel(R, p: Params, workers: int = 12, log=None, jobs=None) -> DataFrame
        written once, by the first job that needs it; jobs needing the same
        slice wait for that write, jobs on other roles go ahead.
     2. Each job's long metric rows are written by the executors under the
-       run folder.  A failing job is logged and skipped — its metrics then
-       show as ``missing`` in ``completeness`` — instead of failing the panel.
+       run folder.  A failing job fails the run once the others have ended;
+       with ``strict=False`` it is logged and left out, and its metrics show as
+       ``missing`` in ``completeness``.
     3. The role slices are deleted; the metric table (last job wins on a
        shared name) and the attainment rows are computed from the written
        job outputs (~100 rows).
@@ -83,21 +84,24 @@ def run_panel(R, p: Params, workers: int = 12, log=None, jobs=None) -> DataFrame
     from tallyspark.session import materialize
 
     S = PanelRoles(R, p)
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-
-        def one(i_job):
-            i, (name, _, metrics) = i_job
-            pj = p.for_job(name)
-            try:
-                df = metrics(S, pj).withColumn("as_of", F.lit(pj.as_of)).withColumn("job_ordinal", F.lit(i))
-                return materialize(df, f"panel-{S.run_id}/jobs/{name}")
-            except Exception as e:  # noqa: BLE001 — one failing job must not stop the panel
-                (log or _LOG.warning)(f"panel job {name} failed and is skipped: {e}")
-                return None
-        chosen = [(i, j) for i, j in enumerate(JOBS) if jobs is None or j[0] in jobs]
-        outs = [o for o in pool.map(one, chosen) if o is not None]
-    # every job output is written: the role slices are no longer read
-    S.cleanup()
+
+    def one(i_job):
+        i, (name, _, metrics) = i_job
+        pj = p.for_job(name)
+        try:
+            df = metrics(S, pj).withColumn("as_of", F.lit(pj.as_of)).withColumn("job_ordinal", F.lit(i))
+            return materialize(df, f"panel-{S.run_id}/jobs/{name}")
+        except Exception as e:  # noqa: BLE001 — any failure of a job is reported or left out
+            if strict:
+                raise
+            (log or _LOG.warning)(f"panel job {name} failed and is skipped: {e}")
+            return None
+
+    try:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            outs = [o for o in pool.map(one, enumerate(JOBS)) if o is not None]
+    finally:  # every job has ended: the role slices are no longer read
+        S.cleanup()
     if not outs:  # every job failed: an empty panel (completeness shows all missing)
         return R.spark.createDataFrame([], "as_of date, job string, metric string, value double")
     u = outs[0]
@@ -111,8 +115,13 @@ def run_panel(R, p: Params, workers: int = 12, log=None, jobs=None) -> DataFrame
 def sink_panel(R, p: Params, path: str, table: DataFrame | None = None) -> None:
     """Metric sink: write the panel under ``path`` partitioned by as_of.
     Dynamic partition overwrite replaces only the days written, so re-running
-    a day (a retry, a late correction) never duplicates or drops other days."""
+    a day (a retry, a late correction) never duplicates or drops other days.
+    Only a table with every metric of the catalogue is written: an incomplete
+    one is an error, and what the sink holds for its day stays."""
     table = table if table is not None else run_panel(R, p)
+    lost = [r["metric"] for r in completeness(R, p, table).where("status = 'missing'").collect()]  # the catalogue's at most
+    if lost:
+        raise ValueError(f"the panel is incomplete and is not stored; missing: {', '.join(sorted(lost))}")
     (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("as_of").parquet(path))
 

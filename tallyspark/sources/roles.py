@@ -16,6 +16,7 @@ it is produced depends on the deployment:
 Role schemas (columns every job may rely on):
 
 decisions         user_id, flow_id, listing_id, inserttime, dt, attrs map<string,string>
+                  dt is the partition day and equals to_date(inserttime) in the session's time zone
                   attrs keys: biz_id process_flag is_reloan is_white_list is_cyclic
                               paid_loans_cnt credit_limit risk_grade
 registrations     user_id, register_time, dt (snapshot partition)
@@ -23,6 +24,7 @@ register_channel  user_id, fst_level_channel, campaign_name, register_time
 limit_loan        limit_flow_no, listing_id, loan_apply_no, withdraw_time, loan_apply_time, asset_product
 limit_loan_b      user_id, withdraw_time, is_deal, is_calm_period_repay, asset_product
 loans             listing_id, user_id, withdraw_time, real_amount, period_no, isactive, bid_stage, asset_product
+                  (a listing can have several versions)
 merchant_orders   loan_apply_no, down_payment_ratio
 listings          listing_id, user_id, withdraw_time, real_amount, apply_amount, product_type,
                   term_quantity, total_period, period_no, product_user_type, asset_product,
@@ -206,13 +208,16 @@ class TestDataRoles(Roles):
     def _role_loans(self) -> DataFrame:
         e = self._events(("purchase",))
         k = F.col("k")
-        return e.select(
+        # listings of k % 8 = 4 have a second, equal version; of k % 8 = 6 an inactive one beside
+        versions = (F.when(k % 8 == 4, F.array(F.lit(True), F.lit(True)))
+                    .when(k % 8 == 6, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))
+        return e.withColumn("live", F.explode(versions)).select(
             F.col("event_id").cast("string").alias("listing_id"),
             "user_id",
             F.col("ts").alias("withdraw_time"),
             F.col("value").cast(MONEY).alias("real_amount"),
             (k % 6 + 1).cast("string").alias("period_no"),
-            F.when(k % 10 == 7, 0).otherwise(1).alias("isactive"),
+            F.when((k % 10 == 7) | ~F.col("live"), 0).otherwise(1).alias("isactive"),
             ((k % 11) * 10).cast("string").alias("bid_stage"),
             self._product(k).alias("asset_product"),
         )

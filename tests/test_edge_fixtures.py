@@ -223,3 +223,21 @@ def test_report_missing_metric_prints_null(spark):
     metrics = spark.createDataFrame([("a", 0.5), ("d", 12.9)], "metric string, value double")
     (row,) = report_lines(metrics, layout_frame(spark, layout)).collect()
     assert row.text == "A 50.0%, B null, change N/A, count 12"
+
+
+def test_fx_loan_versions(spark):
+    """0, 1 and 2 versions of a listing, in both grains."""
+    d = D(2024, 1, 30)
+    entry = spark.createDataFrame([("f0", d, "a"), ("f1", d, "a"), ("f2", d, "a"), ("f3", d, "a")],
+                                  "flow_id string, limit_day date, seg string")
+    mid = spark.createDataFrame([("f0", "l0", d), ("f1", "l1", d), ("f2", "l2", d), ("f2", None, d + dt.timedelta(days=9))],
+                                "flow_id string, listing_id string, wd date")
+    versions = spark.createDataFrame([("l1",), ("l2",), ("l2",), (None,)], "listing_id string")
+    conv = J.with_versions(mid, versions, "listing_id", "n")
+    assert sorted((r.flow_id, r.listing_id or "", r.n) for r in conv.collect()) == [
+        ("f0", "l0", 1), ("f1", "l1", 1), ("f2", "", 1), ("f2", "l2", 2)]
+    plain = entry.join(mid, "flow_id", "left").join(versions, "listing_id", "left")
+    rows, hits = plain.count(), plain.filter("wd = limit_day").count()
+    for grain, expected in (("row", (rows, hits)), ("entity", (4, 3))):
+        r = J.cohort_conversion(entry, conv, "flow_id", "limit_day", "wd", ["seg"], {"t": (0, 0)}, grain=grain, weight="n").first()
+        assert (r.t_rows, r.t_conv) == expected, grain

@@ -84,7 +84,7 @@ def test_failing_job_is_isolated(spark, params):
     messages = []
     try:
         R = TestDataRoles(spark, "/root/testdata/sf0.001")
-        table = panel.run_panel(R, params, log=messages.append)
+        table = panel.run_panel(R, params, log=messages.append, strict=False)
         rows = panel.completeness(R, params, table).collect()
     finally:
         JOBS[idx] = original
@@ -92,3 +92,34 @@ def test_failing_job_is_isolated(spark, params):
     assert missing == {"static_cps", "static_cps_att"}
     assert any("static_cps" in m for m in messages)
     assert len([r for r in rows if r.status != "missing"]) == 99
+
+
+def test_incomplete_panel_leaves_the_sink_alone(spark, roles, params, tmp_path):
+    import pytest
+
+    from tallyspark.plans import panel
+    from tallyspark.plans.jobs import JOBS
+
+    def rows():
+        return sorted((r.metric, r.value is None, r.value or 0.0) for r in spark.read.parquet(sink).collect())
+
+    sink = str(tmp_path / "sink")
+    table = panel.run_panel(roles, params)
+    panel.sink_panel(roles, params, sink, table)
+    stored = rows()
+    assert len(stored) == 101
+    with pytest.raises(ValueError, match="static_cps"):
+        panel.sink_panel(roles, params, sink, table.filter("metric <> 'static_cps'"))
+    idx = [n for n, _, _ in JOBS].index("static_cps")
+    original = JOBS[idx]
+
+    def broken(R, p):
+        raise RuntimeError("source table unavailable")
+
+    JOBS[idx] = (original[0], original[1], broken)
+    try:
+        with pytest.raises(RuntimeError, match="unavailable"):
+            panel.sink_panel(roles, params, sink)
+    finally:
+        JOBS[idx] = original
+    assert rows() == stored
