@@ -35,7 +35,7 @@ ODD_SPACE = re.compile("[\t\r\x0b\x0c\x85\xa0  -     　]")
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 KEPT_PIECES, KEPT_CHARS = 300_000, 64
 #: Bytes of text that are encoded together.
-ENCODE_BYTES = 16 << 20
+ENCODE_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
