@@ -27,15 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Kept, chunks, of_process
+from .common import Kept, chunks, of_process, tidy
 
 #: White space other than space and newline: texts with it are cut by the pattern alone.
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x85\xa0  -     　]")
 #: A run of spaces and newlines with the characters up to the next one.
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-KEPT_PIECES, KEPT_CHARS = 300_000, 64
+KEPT_PIECES, KEPT_CHARS = 200_000, 64
 #: Bytes of text that are encoded together.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -303,24 +303,26 @@ class Decoder:
         return self.flat[np.repeat(self.begin[ids] - at + n, n) + np.arange(at[-1])].tobytes()
 
 
-def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``token_ids`` (binary: little-endian unsigned 32-bit) and ``n_tokens``."""
-    out = docs.drop("token_ids", "n_tokens")
-    schema = out.schema
+def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", decode: bool = False) -> DataFrame:
+    """``docs`` with ``token_ids`` (binary: little-endian unsigned 32-bit) and ``n_tokens``;
+    with ``decode`` also ``decoded``, the bytes that the ids stand for, from the same task."""
+    out = docs.drop("token_ids", "n_tokens", *(["decoded"] if decode else []))
     at = out.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = of_process(f"bpe {vocabulary} {pattern}", lambda: Encoder(read_ranks(vocabulary), pattern))
+        back = of_process(f"bpe bytes {vocabulary}", lambda: Decoder(enc.ranks)).decode if decode else None
         for b in batches:
             for lo, hi, _, _ in chunks(b.column(at), ENCODE_BYTES):
                 part = b.slice(lo, hi - lo)
                 ids = enc.encode_all([t or "" for t in part.column(at).to_pylist()])
+                more = [pa.array(map(back, ids), pa.binary())] if decode else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
-                    names=[*part.schema.names, "token_ids", "n_tokens"])
+                    [*part.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), *more], names=made.names)
 
-    made = T.StructType([*schema.fields, T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
-    return out.mapInArrow(run, made)
+    made = T.StructType([*out.schema.fields, T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
+                         *([T.StructField("decoded", T.BinaryType())] if decode else [])])
+    return out.mapInArrow(tidy(run), made)
 
 
 def decode_ids(tokens: DataFrame, vocabulary: str, ids_col: str = "token_ids") -> DataFrame:
@@ -337,13 +339,12 @@ def decode_ids(tokens: DataFrame, vocabulary: str, ids_col: str = "token_ids") -
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())],
                                                  names=[*part.schema.names, "decoded"])
 
-    return out.mapInArrow(run, T.StructType([*out.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return out.mapInArrow(tidy(run), T.StructType([*out.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the packed ids and of what they decode to."""
-    ids = encode_texts(docs.select("doc_id", "text"), vocabulary, pattern).select("doc_id", "token_ids", "n_tokens")
-    return decode_ids(ids, vocabulary).select(
+    return encode_texts(docs.select("doc_id", "text"), vocabulary, pattern, decode=True).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -11,6 +11,7 @@ hash with a chance of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import sys
@@ -112,6 +113,35 @@ def of_process(name: str, make):
     return all_kept[name]
 
 
+def give_back() -> None:
+    """Return freed memory to the system; the allocators would hold it for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """A function for ``mapInArrow`` that gives memory back when its task ends."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
+def tidy_group(run):
+    """The same for ``applyInArrow``, after each group."""
+
+    def tidied(*tables: pa.Table) -> pa.Table:
+        out = run(*tables)
+        give_back()
+        return out
+
+    return tidied
+
+
 # ---------------------------------------------------------------- bytes
 def byte_table(low: bool, word_bytes) -> tuple[np.ndarray, np.ndarray]:
     """(byte after lower-casing A-Z if ``low``, is it part of a word)."""
