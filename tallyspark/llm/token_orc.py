@@ -13,7 +13,9 @@ earlier files, one number a file.
 
 The tokenizer drops white space and never looks across it, so texts are
 encoded word by word, with the library, and the ids of words already met are
-kept; the result is that of encoding the whole text.
+kept.  Texts of plain characters are cut into the pieces that the tokenizer's
+own pattern gives instead, each encoded by the library's model.  The result is
+that of encoding the whole text.
 
 Defined results: a null text is empty and yields the end id alone; rows with
 equal ids follow each other ordered by a hash of the text; null ids come
@@ -22,18 +24,24 @@ first; an empty table writes no documents.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Kept, n_shards, of_process, scratch_path, text_bytes
+from .common import Kept, chunks, n_shards, of_process, scratch_path, text_bytes, tidy
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
-KEPT_WORDS = 250_000
+KEPT_WORDS = 200_000
+CHUNK_BYTES = 1 << 20
+SEGMENT, WHITE = 1 << 16, re.compile("[ \n]")
 
 
 def find_mark(tok) -> tuple[str, int] | None:
@@ -70,6 +78,95 @@ def encode_words(tok, words: list[str], per_call: int = 1000) -> list[bytes]:
     return out
 
 
+class Pieces:
+    """Cuts texts into the pieces that the tokenizer's model encodes one by one.
+
+    For a tokenizer that lower-cases, splits by a pattern and maps bytes to
+    letters, as its own description tells; and for texts of spaces, newlines and
+    characters that normalise to one character each, none part of a composition."""
+
+    PLAIN = range(0x21, 0x130)  # below the combining marks
+
+    def __init__(self, tok, pattern: str):
+        import regex
+        from tokenizers import pre_tokenizers
+        as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        normal = {c: tok.normalizer.normalize_str(c) for c in map(chr, self.PLAIN)}
+        plain = [c for c, n in normal.items() if n == c.lower() and len(n) == 1 and not n.isspace() and not c.isspace()]
+        self.letters = {ord(c): as_letters(c)[0][0] for c in plain}
+        if any(self.letters[ord(c)] != c.lower() for c in plain if c.isascii()):
+            raise ValueError("ASCII characters are not their own letters")
+        self.odd = re.compile(f"[^ \n{re.escape(''.join(plain))}]").search
+        added = [t.content.lower() for t in tok.get_added_tokens_decoder().values()]
+        self.has_added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        self.find, self.model = regex.compile(pattern).findall, tok.model
+
+    @classmethod
+    def of(cls, tok) -> Pieces | None:
+        """None for a tokenizer made otherwise."""
+        made = json.loads(tok.to_str())
+        steps = [n.get("type") for n in (made["normalizer"] or {}).get("normalizers", [])]
+        cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if steps != ["NFC", "Replace", "Lowercase"] or [c.get("type") for c in cuts] != ["Split", "ByteLevel"]:
+            return None
+        split, letters = cuts
+        if split["behavior"] != "Removed" or not split["invert"] or letters["use_regex"] or letters["add_prefix_space"]:
+            return None
+        return cls(tok, split["pattern"]["Regex"])
+
+    def cut(self, text: str) -> list[str] | None:
+        """The pieces, None for a text that its words are taken from instead."""
+        low = text.lower()
+        return None if self.odd(text) or self.has_added(low) else self.find(low)
+
+    def encode(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.translate(self.letters)
+        return array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+
+class Encoder:
+    """Encodes texts; keeps the packed ids of recent pieces and words."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok, self.kept = Tokenizer.from_file(path), Kept(KEPT_WORDS)
+        self.pieces = Pieces.of(self.tok)
+
+    def _ids(self, names: set[str], encode) -> dict[str, bytes]:
+        """Packed ids of each name; ``encode`` gives those of names not met before."""
+        out = {x: self.kept.get(x) for x in names}
+        new = [x for x, ids in out.items() if ids is None]
+        for x, ids in zip(new, encode(new)):
+            out[x] = ids
+            if len(x) <= 64:
+                self.kept.put(x, ids)
+        return out
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        words = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
+        ids = self._ids({w for ws in words for w in ws}, lambda new: encode_words(self.tok, new))
+        return [b"".join(map(ids.__getitem__, ws)) for ws in words]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Each text's packed ids."""
+        cuts = [self.pieces.cut(t) if self.pieces else None for t in texts]
+        ids = self._ids({p for c in cuts if c for p in c}, lambda new: map(self.pieces.encode, new))
+        out = [b"" if c is None else b"".join(map(ids.__getitem__, c)) for c in cuts]
+        whole = [i for i, c in enumerate(cuts) if c is None]
+        for i, x in zip(whole, self._by_words([texts[i] for i in whole])):
+            out[i] = x
+        return out
+
+
+def segments(text: str) -> list[str]:
+    """Cuts before a space or newline, each as soon as SEGMENT characters are full."""
+    out, lo = [], 0
+    while len(text) - lo > SEGMENT and (cut := WHITE.search(text, lo + SEGMENT)):
+        out.append(text[lo:cut.start()])
+        lo = cut.start()
+    return [*out, text[lo:]]
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, bytes_per_file: int = 32 << 20,
                  stripe_bytes: int = 4 << 20, row_index: int = 1000, bloom_fpp: float = 0.01) -> None:
     """Encode ``docs`` (doc_id, text) into ORC files under ``path``."""
@@ -79,28 +176,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, by
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-        tok, kept = of_process(f"words {tokenizer}", lambda: (Tokenizer.from_file(tokenizer), Kept(KEPT_WORDS)))
+        enc = of_process(f"words {tokenizer}", lambda: Encoder(tokenizer))
         part = TaskContext.get().partitionId()
         start = 0
         end = np.array([end_id], np.int32).tobytes()
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1024):
-                b = whole.slice(lo, 1024)
-                words = [(t or "").replace("\n", " ").split(" ") for t in b.column(1).to_pylist()]
-                ids = {w: kept.get(w) if w else b"" for w in {w for ws in words for w in ws}}
-                missed = [w for w, x in ids.items() if x is None]
-                # a full stop or comma behind an ASCII letter is a token of its own
-                stems = {w: w[:-1] for w in missed if w[-1] in ".," and "a" <= w[-2:-1].lower() <= "z"}
-                known = {w: kept.get(w) for w in [*set(stems.values()), ".", ","]}
-                new = list({w for w in missed if w not in stems}.union(w for w, x in known.items() if x is None))
-                for w, x in zip(new, encode_words(tok, new)):
-                    known[w] = x
-                    if len(w) <= 64:
-                        kept.put(w, x)
-                for w in missed:
-                    ids[w] = known[stems[w]] + known[w[-1]] if w in stems else known[w]
-                packed = [b"".join(map(ids.__getitem__, ws)) + end for ws in words]
+            for lo, hi, _, _ in chunks(whole.column(1), CHUNK_BYTES):
+                b = whole.slice(lo, hi - lo)
+                parts = [segments(t or "") for t in b.column(1).to_pylist()]
+                flat = [s for p in parts for s in p]
+                made = iter([x for i in range(0, len(flat), 512) for x in enc.encode_all(flat[i:i + 512])])
+                packed = [b"".join(islice(made, len(p))) + end for p in parts]
                 n = np.array([len(x) // 4 for x in packed], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(n)])
                 ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
@@ -113,7 +199,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, by
     (docs.select(F.col("doc_id").cast("long"), "text")
      .repartitionByRange(files, F.col("doc_id"), F.xxhash64("text"))
      .sortWithinPartitions("doc_id", F.xxhash64("text"))
-     .mapInArrow(run, FILE_SCHEMA)
+     .mapInArrow(tidy(run), FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.stripe.size", stripe_bytes)
      .option("orc.row.index.stride", row_index).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", bloom_fpp)
@@ -142,7 +228,7 @@ def with_crc(tokens: DataFrame) -> DataFrame:
                                              names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return tokens.select("doc_id", "start", "n_tokens", "token_ids").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
