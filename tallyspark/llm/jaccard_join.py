@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (SPACE_WORD, Bloom, build_bloom, byte_table, chunks, doc_shingles, drop_saved, find_words, hash_spans, n_shards, save)
+from .common import (SPACE_WORD, Bloom, build_bloom, byte_table, chunks, doc_shingles, drop_saved, find_words, hash_spans, n_shards, save,
+                     tidy, tidy_group)
 
 FOLD, IS_WORD = byte_table(True, SPACE_WORD)
 SKETCH_LOG2 = 20
@@ -86,7 +87,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFr
                 [b.column(0), pa.array(n), pa.array(key[:, 0], mask=n == 0), pa.array(key[:, 1], mask=n == 0)], names=["id", "n", "s1", "s2"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n long, s1 long, s2 long")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"id {kind}, n long, s1 long, s2 long")
 
 
 def count_sketch(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
@@ -112,7 +113,7 @@ def count_sketch(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
         if got:
             yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([x.tobytes() for x in got.values()], pa.binary())], names=["seg", "c"])
 
-    rows = docs.select(text_col).mapInArrow(run, "seg int, c binary").repartition(16, "seg").mapInArrow(add, "seg int, c binary").collect()
+    rows = docs.select(text_col).mapInArrow(tidy(run), "seg int, c binary").repartition(16, "seg").mapInArrow(add, "seg int, c binary").collect()
     out = np.zeros((segments, size // segments), np.int64)  # of fixed size
     for r in rows:
         out[r["seg"]] = np.frombuffer(r["c"], np.int64)
@@ -186,7 +187,7 @@ def sets_of_classes(docs: DataFrame, text_col: str, k: int, screen: Bloom) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(raw, pa.binary())],
                                                  names=["s1", "s2", "members"])
 
-    return docs.select(text_col).mapInArrow(run, "s1 long, s2 long, members binary")
+    return docs.select(text_col).mapInArrow(tidy(run), "s1 long, s2 long, members binary")
 
 
 def prefixes(docs: DataFrame, text_col: str, k: int, percent: int, sketch, screen: Bloom | None) -> DataFrame:
@@ -227,7 +228,7 @@ def prefixes(docs: DataFrame, text_col: str, k: int, percent: int, sketch, scree
             bits = pa.array(bitmaps, pa.binary()) if screen is not None else pa.nulls(len(flat[0]), pa.binary())
             yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in flat], bits], names=[*cols, "bits"])
 
-    return docs.select(text_col).mapInArrow(run, "token long, s1 long, s2 long, n long, pos long, bits binary")
+    return docs.select(text_col).mapInArrow(tidy(run), "token long, s1 long, s2 long, n long, pos long, bits binary")
 
 
 class Solver:
@@ -363,7 +364,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", k: int = 3, percent: i
     drop_saved(live)
     plain = "token long, s1 long, s2 long, n long, pos long"
     short = (rows.where(F.col("c") <= max_list).withColumn("shard", F.pmod(F.xxhash64("token"), F.lit(shards)))
-             .groupBy("shard").applyInArrow(screen_lists(percent), plain))
+             .groupBy("shard").applyInArrow(tidy_group(screen_lists(percent)), plain))
     long = rows.where(F.col("c") > max_list).groupBy("token", "s1", "s2").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
     entries = save(short.union(long), "jaccard-lists")
     drop_saved(rows)
@@ -397,7 +398,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", k: int = 3, percent: i
         cols = ["s1", "s2", "n", "pos", "members", *(["group"] if groups else [])]
         # the salt keeps the blocks of one long list apart
         return (frame.select(list_key.alias("list"), *cols).withColumn("shard", F.pmod("list", F.lit(shards)))
-                .groupBy("shard").applyInArrow(lambda t: _solve(percent, groups)(t), EDGE_SCHEMA))
+                .groupBy("shard").applyInArrow(tidy_group(_solve(percent, groups)), EDGE_SCHEMA))
 
     edges = save(solved(full, F.xxhash64("token", "block"), False), "jaccard-links")
     found = save(components(edges), "jaccard-components")

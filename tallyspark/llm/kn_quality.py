@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, save
+from .common import chunks, save, tidy
 
 ORDER = 4
 #: Fixed classes of ASCII characters, each one class; other bytes follow below.
@@ -87,7 +87,7 @@ def count_runs(texts: DataFrame, text_col: str) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
 
-    return texts.select(text_col).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.select(text_col).mapInArrow(tidy(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
@@ -145,7 +145,7 @@ def with_log_prob(docs: DataFrame, keep: list[str], text_col: str, table: np.nda
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out), pa.array(size)], names=[*keep, "log_prob", "n_bytes"])
 
     schema = docs.select(*keep).schema.add("log_prob", "double").add("n_bytes", "long")
-    return docs.select(*keep, F.col(text_col).alias("text_to_score")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias("text_to_score")).mapInArrow(tidy(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang"), id_col: str = "doc_id",

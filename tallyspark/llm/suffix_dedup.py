@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MULT, MULT_INV, Bloom, build_bloom, chunks, mix64, n_shards, powers, save
+from .common import MULT, MULT_INV, Bloom, build_bloom, chunks, mix64, n_shards, powers, save, tidy, tidy_group
 
 LENGTH, GRAM = 200, 48
 MAX_PIECES = 20_000
@@ -106,7 +106,7 @@ def anchor_occurrences(docs: DataFrame, text_col: str, length: int) -> DataFrame
                 occ = mix64(keys[row] + mix64(start.astype(np.uint64) + np.uint64(1)))
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(occ.view(np.int64))], names=["anchor", "occ"])
 
-    return docs.select(text_col).mapInArrow(run, "anchor long, occ long")
+    return docs.select(text_col).mapInArrow(tidy(run), "anchor long, occ long")
 
 
 def anchor_pieces(docs: DataFrame, text_col: str, length: int, screen: Bloom) -> DataFrame:
@@ -129,7 +129,7 @@ def anchor_pieces(docs: DataFrame, text_col: str, length: int, screen: Bloom) ->
                     [pa.array(anchor[ok].view(np.int64)), pa.array([keys[i] for i in row[ok].tolist()], pa.string()),
                      pa.array(start[ok]), pa.array(size[ok]), pa.array(pieces, pa.binary())], names=["anchor", "t", "start", "n", "piece"])
 
-    return docs.select(text_col).mapInArrow(run, "anchor long, t string, start long, n long, piece binary")
+    return docs.select(text_col).mapInArrow(tidy(run), "anchor long, t string, start long, n long, piece binary")
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -289,7 +289,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     size = per_anchor.agg((F.sum("starts") + length * F.sum("kinds"))).first()[0] or 0
     shards = n_shards(size, 3 << 20, 16)
     dealt = mixed.withColumn("shard", F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)))
-    solve, solve_split = solve_shard(length, False), solve_shard(length, True)
+    solve, solve_split = tidy_group(solve_shard(length, False)), tidy_group(solve_shard(length, True))
     cols = ["shard", "anchor", "salt", "piece_key", "piece"]
     solved = save(dealt.where("not split").select(*cols).groupBy("shard").applyInArrow(solve, SOLVED), "repeat-solved")
     found = solved.select("anchor", "piece_key", F.explode(F.arrays_zip("firsts", "lasts")).alias("r")).select(
@@ -348,7 +348,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_co
                 names=[*keep, "n_bytes", "removed", "kept"])
 
     joined = keyed.join(known, keyed["t"] == known["t_"], "left").select(*keep, "text_", "spans", "copies")
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
