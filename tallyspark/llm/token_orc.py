@@ -92,10 +92,9 @@ class Pieces:
         from tokenizers import pre_tokenizers
         as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         normal = {c: tok.normalizer.normalize_str(c) for c in map(chr, self.PLAIN)}
-        plain = [c for c, n in normal.items() if n == c.lower() and len(n) == 1 and not n.isspace() and not c.isspace()]
+        plain = [c for c, n in normal.items() if n == c.lower() and len(n) == 1 and not n.isspace() and not c.isspace()
+                 and (not c.isascii() or as_letters(c)[0][0] == c)]  # ASCII pieces are taken as they are
         self.letters = {ord(c): as_letters(c)[0][0] for c in plain}
-        if any(self.letters[ord(c)] != c.lower() for c in plain if c.isascii()):
-            raise ValueError("ASCII characters are not their own letters")
         self.odd = re.compile(f"[^ \n{re.escape(''.join(plain))}]").search
         added = [t.content.lower() for t in tok.get_added_tokens_decoder().values()]
         self.has_added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
