@@ -232,3 +232,25 @@ def test_pipeline_stages(spark):
         assert tuple(docs.columns) == corpus_pipeline.COLUMNS
         assert 0.5 * n < docs.count() <= n
     assert corpus_pipeline.run(spark, sf).count() == docs.count()
+
+
+def test_token_pieces_match_the_library():
+    """Plain texts by pieces, others by words: both give the library's ids of the whole text."""
+    import random
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tallyspark.llm import token_orc
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), token_orc.Encoder(path)
+    assert enc.pieces is not None
+    rng = random.Random(7)
+    odd = "aAzZ'sTtreVEllmd 09²¼éÉİıſßẞµ́\u0085 ­\t\x1c\x7f\n.,<|>Σς中😀"
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["".join(chr(rng.randint(1, 0x17F)) for _ in range(30)) for _ in range(2000)]
+    texts += ["", " ", "a<|endoftext|>b", "<|STARTOFTEXT|>.", "DON'T l'été 'S", "word " * 40_000, "x" * 70_000 + " y"]
+    for t in texts:
+        got = b"".join(enc.encode_all(token_orc.segments(t)))
+        assert got == np.array(tok.encode(t, add_special_tokens=False).ids, np.int32).tobytes(), t[:80]
