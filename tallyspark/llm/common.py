@@ -132,10 +132,10 @@ def tidy(run):
 
 
 def tidy_group(run):
-    """The same for ``applyInArrow``, after each group."""
+    """The same for ``applyInArrow`` on one table, after each group."""
 
-    def tidied(*tables: pa.Table) -> pa.Table:
-        out = run(*tables)
+    def tidied(table: pa.Table) -> pa.Table:
+        out = run(table)
         give_back()
         return out
 
