@@ -5,18 +5,19 @@ Counts of words and word pairs of all training texts are quantised to levels
 as (n-gram, 1) ... (n-gram, q), and read back by probing 1, 2, ... until a miss.
 Words have level 1 + floor(log2 c), pairs floor(log2 c), so that pairs seen once
 take no room.  The filter is made in segments, each by one task from the
-n-grams of one hash range, sized by what it holds; the segments together, at
-most ``max_filter_bytes``, are broadcast.  A fuller filter errs more often (it
-overstates some counts), but no n-gram is left out.
+n-grams of one hash range, with BITS_PER_ENTRY bits for each entry at every size
+of the input: it errs alike everywhere (it overstates some counts).  A segment
+stays in its task and is probed there, so the filter is never in one place and
+has no bound for all.
 
 The score is log10 of  prod over tokens of  MIX * c2 / c1 + (1 - MIX) * P1,
 with c2 / c1 the pair's share among its first word's occurrences and P1 the
 smoothed share of the word, all from levels.
 
 The base score needs exact counts.  Texts are dealt into blocks by a hash; a
-block asks the count shards for its distinct words and gets their counts back,
-packed, so the vocabulary is never in one place and a block's need is bounded
-by the block.
+block asks the count shards for its distinct words and word pairs and gets the
+words' counts and the levels of both back, packed, so the vocabulary is never in
+one place and a block's need is bounded by the block.
 
 Defined results: a null or empty text is the end token alone; a null id counts
 as the empty text for the fold; repeated rows are scored each; without training
@@ -38,7 +39,6 @@ END, BEGIN = np.uint64(0x51ED270B9F3A8C15), np.uint64(0xA0761D6478BD642F)
 MIX = 0.2
 PROBES = 4
 BITS_PER_ENTRY = 10
-MAX_FILTER_BYTES = 256 << 20
 STAGE_SCHEMA = "kind string, shard int, block int, keys binary, counts binary, a double, b double"
 
 
@@ -80,6 +80,15 @@ def _new() -> dict:
     return {k: [] for k in ("kind", "shard", "block", "keys", "counts", "a", "b")}
 
 
+def pack(counts: np.ndarray) -> bytes:
+    """Counts (one at least), each in as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def unpack(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
+
+
 def count_block(shard_bits: int):
     """A block's distinct words and pairs with their training counts, packed by shard."""
 
@@ -96,18 +105,15 @@ def count_block(shard_bits: int):
         for s in range(1 << shard_bits):
             lo, hi = edge[s], edge[s + 1]
             if hi > lo:
-                _row(out, "word", s, block, words[lo:hi].tobytes(), counts[lo:hi].tobytes())
-        pairs = np.sort(pair_keys(tokens, bounds)[used]) >> np.uint64(32 - shard_bits)  # shard, then 32 bits
-        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
-        n = np.diff(np.append(first, len(pairs)))
-        pairs = pairs[first]
+                _row(out, "word", s, block, words[lo:hi].tobytes(), pack(counts[lo:hi]))
+        pairs, at = np.unique(pair_keys(tokens, bounds) >> np.uint64(32 - shard_bits), return_inverse=True)  # shard, then 32 bits
+        n = np.bincount(at, weights=used, minlength=len(pairs)).astype(np.uint32)
         edge = np.searchsorted(pairs, np.arange((1 << shard_bits) + 1, dtype=np.uint64) << np.uint64(32))
         low = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         for s in range(1 << shard_bits):
-            p, c = low[edge[s]:edge[s + 1]], n[edge[s]:edge[s + 1]]
-            if len(p):
-                _row(out, "pair", s, block, p[c == 1].tobytes())
-                _row(out, "pair", s, block, p[c > 1].tobytes(), c[c > 1].astype(np.uint32).tobytes())
+            lo, hi = edge[s], edge[s + 1]
+            if hi > lo:
+                _row(out, "pair", s, block, low[lo:hi].tobytes(), pack(n[lo:hi]))
         _row(out, "begin", 0, block, a=float(train.sum()))
         return _table(out)
 
@@ -118,113 +124,108 @@ def entry_hash(ids: np.ndarray, level: int) -> np.ndarray:
     return mix64(ids + np.uint64(level * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
 
 
-def segment_slots(h: np.ndarray, bits: int) -> np.ndarray:
-    a, b = h >> np.uint64(32), (h & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-    i = np.arange(PROBES, dtype=np.uint64)[:, None]
-    return (a + i * b) % np.uint64(bits)
+class Segment:
+    """The filter of one shard's n-grams, with room for ``entries`` entries."""
 
+    def __init__(self, entries: int):
+        self.flags = np.zeros(max(64, entries * BITS_PER_ENTRY), bool)
 
-def log2_floor(c: np.ndarray) -> np.ndarray:
-    return np.frexp(c.astype(np.float64))[1] - 1
+    def slots(self, ids: np.ndarray, level: int, probe: int) -> np.ndarray:
+        h = entry_hash(ids, level)
+        a, b = h >> np.uint64(32), (h & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+        return ((a + np.uint64(probe) * b) % np.uint64(len(self.flags))).astype(np.int64)
 
+    def add(self, ids: np.ndarray, level: np.ndarray) -> None:
+        for k in range(1, int(level.max(initial=0)) + 1):
+            for i in range(PROBES):
+                self.flags[self.slots(ids[level >= k], k, i)] = True
 
-def word_count(level: np.ndarray) -> np.ndarray:
-    """What a word's level stands for: 0, 1, then the middle of a power of two."""
-    return np.where(level > 1, 1.4 * 2.0 ** np.maximum(level - 1, 0), level)
+    def read(self, ids: np.ndarray) -> np.ndarray:
+        level, at = np.zeros(len(ids), np.uint8), np.arange(len(ids))
+        for k in range(1, 64):
+            for i in range(PROBES):
+                at = at[self.flags[self.slots(ids[at], k, i)]]
+            if not len(at):
+                break
+            level[at] = k
+        return level
 
 
-def pair_count(level: np.ndarray) -> np.ndarray:
-    return np.where(level > 0, 1.4 * 2.0 ** level, 0.0)
+def log2_floor(c: np.ndarray) -> np.ndarray:
+    return np.frexp(c.astype(np.float64))[1] - 1
 
 
-def count_shard(max_bits: int):
-    """A shard's word counts, sent back to the blocks that asked, its filter segment and totals."""
+def word_level(c: np.ndarray) -> np.ndarray:
+    return np.where(c > 0, 1 + log2_floor(np.maximum(c, 1)), 0)
 
-    def run(table: pa.Table) -> pa.Table:
-        out = _new()
-        kind = np.array(table.column("kind").to_pylist())
-        shard = table.column("shard")[0].as_py()
-        keys, counts = table.column("keys").to_pylist(), table.column("counts").to_pylist()
-        blocks = table.column("block").to_pylist()
-        begin = [table.column("a")[int(i)].as_py() for i in np.flatnonzero(kind == "begin")]
-        if begin:
-            _row(out, "begin", shard, -1, a=sum(begin))
-        at = np.flatnonzero(kind == "word").tolist()
-        ask = [np.frombuffer(keys[i], np.uint64) for i in at]
-        words = np.concatenate([np.zeros(0, np.uint64), *ask])
-        have = np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer(counts[i], np.uint32) for i in at]])
-        words, back = np.unique(words, return_inverse=True)
-        total = np.bincount(back, weights=have, minlength=len(words)).astype(np.int64)
-        for i, w in zip(at, ask):
-            _row(out, "need", shard, blocks[i], counts=total[np.searchsorted(words, w)].astype(np.int64).tobytes())
-        seen = total > 0
-        level = np.zeros(len(words), np.int64)
-        level[seen] = 1 + log2_floor(total[seen])
-        _row(out, "words", shard, -1, a=float(total.sum()), b=float(seen.sum()))
-        _row(out, "mass", shard, -1, a=float(word_count(level).sum()))
-        at = np.flatnonzero(kind == "pair").tolist()
-        low = [np.frombuffer(keys[i], np.uint32) for i in at]
-        many = [np.frombuffer(counts[i], np.uint32) if counts[i] is not None else np.ones(len(p), np.uint32) for i, p in zip(at, low)]
-        low = np.concatenate([np.zeros(0, np.uint32), *low])
-        many = np.concatenate([np.zeros(0, np.uint32), *many])
-        order = np.argsort(low, kind="stable")
-        low, many = low[order], many[order]
-        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
-        many = np.add.reduceat(many.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        low = low[first]
-        low, many = low[many > 1], many[many > 1]
-        pairs = (np.uint64(shard) << np.uint64(32)) | low.astype(np.uint64)
-        pair_level = log2_floor(many) if len(many) else np.zeros(0, np.int64)
-        entries = int(level.sum() + pair_level.sum())
-        bits = min(max_bits, max(64, -(-entries * BITS_PER_ENTRY // 8) * 8))
-        flags = np.zeros(bits, bool)
-        for ids, q in ((words, level), (mix64(pairs), pair_level)):
-            for k in range(1, int(q.max(initial=0)) + 1):
-                flags[segment_slots(entry_hash(ids[q >= k], k), bits).ravel().astype(np.int64)] = True
-        _row(out, "segment", shard, -1, np.packbits(flags, bitorder="little").tobytes())
-        return _table(out)
 
-    return run
+def pair_level(c: np.ndarray) -> np.ndarray:
+    return log2_floor(np.maximum(c, 1))
 
 
-class Levels:
-    """Reads levels from the segments."""
+def word_count(level: np.ndarray) -> np.ndarray:
+    """What a word's level stands for: 0, 1, then the middle of a power of two."""
+    return np.where(level > 1, 1.4 * 2.0 ** np.maximum(level - 1, 0), level)
 
-    def __init__(self, segments: list[bytes]):
-        self.bits = np.array([len(s) * 8 for s in segments], np.uint64)
-        self.begin = np.concatenate([[0], np.cumsum([len(s) for s in segments])[:-1]]).astype(np.int64)
-        self.data = np.frombuffer(b"".join(segments), np.uint8)
 
-    def read(self, ids: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        level = np.zeros(len(ids), np.int64)
-        at = np.arange(len(ids))
-        step = np.arange(PROBES, dtype=np.uint64)
-        for k in range(1, 64):
-            if not len(at):
-                break
-            h = entry_hash(ids[at], k)
-            a, b = h >> np.uint64(32), (h & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-            bits, begin = self.bits[shard[at]], self.begin[shard[at]]
-            ok = np.ones(len(at), bool)
-            for i in step:
-                slot = (a + i * b) % bits
-                ok &= (self.data[begin + (slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            at = at[ok]
-            level[at] = k
-        return level
+def pair_count(level: np.ndarray) -> np.ndarray:
+    return np.where(level > 0, 1.4 * 2.0 ** level, 0.0)
 
 
-def score_block(handle, shard_bits: int, n: float, v: float, mass: float, texts: float, names: list[str]):
-    """Scores of a block's texts, given the exact counts of its words."""
+def gather(keys: list, counts: list, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their total counts, each asked key's place among them, bounds of the asks)."""
+    asks = [np.frombuffer(k, kind) for k in keys]
+    have = [unpack(c, len(k)) for c, k in zip(counts, asks)]
+    ids, back = np.unique(np.concatenate([np.zeros(0, kind), *asks]), return_inverse=True)
+    total = np.bincount(back, weights=np.concatenate([np.zeros(0, np.int64), *have]), minlength=len(ids)).astype(np.int64)
+    return ids, total, back, np.cumsum([0, *map(len, asks)])
+
+
+def count_shard(table: pa.Table) -> pa.Table:
+    """A shard's word counts and the levels its filter segment gives, sent back to the blocks that asked, and totals."""
+    out = _new()
+    kind = np.array(table.column("kind").to_pylist())
+    shard = table.column("shard")[0].as_py()
+    keys, counts = table.column("keys").to_pylist(), table.column("counts").to_pylist()
+    blocks = table.column("block").to_pylist()
+    begin = [table.column("a")[int(i)].as_py() for i in np.flatnonzero(kind == "begin")]
+    if begin:
+        _row(out, "begin", shard, -1, a=sum(begin))
+    of_word, of_pair = np.flatnonzero(kind == "word").tolist(), np.flatnonzero(kind == "pair").tolist()
+    words, total, word_at, word_edge = gather([keys[i] for i in of_word], [counts[i] for i in of_word], np.uint64)
+    low, many, pair_at, pair_edge = gather([keys[i] for i in of_pair], [counts[i] for i in of_pair], np.uint32)
+    pairs = mix64((np.uint64(shard) << np.uint64(32)) | low.astype(np.uint64))
+    level, level_of_pair = word_level(total), pair_level(many)
+    _row(out, "words", shard, -1, a=float(total.sum()), b=float((total > 0).sum()))
+    _row(out, "mass", shard, -1, a=float(word_count(level).sum()))
+    segment = Segment(int(level.sum() + level_of_pair.sum()))
+    segment.add(words, level)
+    segment.add(pairs, level_of_pair)
+    read = segment.read(words)
+    for j, i in enumerate(of_word):
+        at = word_at[word_edge[j]:word_edge[j + 1]]
+        _row(out, "need", shard, blocks[i], read[at].tobytes(), pack(total[at]))
+    read = segment.read(pairs)
+    for j, i in enumerate(of_pair):
+        _row(out, "need pair", shard, blocks[i], read[pair_at[pair_edge[j]:pair_edge[j + 1]]].tobytes())
+    return _table(out)
+
+
+def score_block(shard_bits: int, n: float, v: float, mass: float, texts: float, names: list[str]):
+    """Scores of a block's texts, given the exact counts of its words and the levels of its words and pairs."""
 
     def run(docs: pa.Table, needs: pa.Table) -> pa.Table:
-        levels = Levels(handle.value)
         tokens, bounds = tokens_of(docs.column("text"))
         words, at = np.unique(tokens, return_inverse=True)
-        shard = needs.column("shard").to_numpy()
-        packed = needs.column("counts").to_pylist()
-        exact = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(packed[i], np.int64) for i in np.argsort(shard).tolist()]])
-        if len(exact) != len(words):
+        kind, shard = np.array(needs.column("kind").to_pylist()), needs.column("shard").to_numpy()
+        packed, counts = needs.column("keys").to_pylist(), needs.column("counts").to_pylist()
+        order = np.argsort(shard, kind="stable")
+        of_word, of_pair = order[kind[order] == "need"].tolist(), order[kind[order] == "need pair"].tolist()
+        level = np.frombuffer(b"".join(packed[i] for i in of_word), np.uint8).astype(np.int64)
+        level_of_pair = np.frombuffer(b"".join(packed[i] for i in of_pair), np.uint8).astype(np.int64)
+        exact = np.concatenate([np.zeros(0, np.int64), *[unpack(counts[i], len(packed[i])) for i in of_word]])
+        pairs, pat = np.unique(pair_keys(tokens, bounds) >> np.uint64(32 - shard_bits), return_inverse=True)
+        if len(exact) != len(words) or len(level_of_pair) != len(pairs):
             raise ValueError("a block's words and counts don't match")
         first = bounds[:-1]
 
@@ -233,10 +234,9 @@ def score_block(handle, shard_bits: int, n: float, v: float, mass: float, texts:
 
         base = per_text(np.log10((exact + 0.1) / (n + 0.1 * (v + 1)))[at])
         known = per_text((exact > 0).astype(np.int64)[at])
-        c1 = word_count(levels.read(words, (words >> np.uint64(64 - shard_bits)).astype(np.int64)))
+        c1 = word_count(level)
         p1 = ((c1 + 0.1) / (mass + 0.1 * (v + 1)))[at]
-        pairs, pat = np.unique(pair_keys(tokens, bounds) >> np.uint64(32 - shard_bits), return_inverse=True)
-        c2 = pair_count(levels.read(mix64(pairs), (pairs >> np.uint64(32)).astype(np.int64)))[pat]
+        c2 = pair_count(level_of_pair)[pat]
         before = np.empty(len(tokens))
         before[1:] = c1[at][:-1]
         before[first] = texts
@@ -250,11 +250,9 @@ def score_block(handle, shard_bits: int, n: float, v: float, mass: float, texts:
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, block_bytes: int = 12 << 20,
-                max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, block_bytes: int = 12 << 20) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score) for every text.
     Texts whose crc32(id as text) mod ``folds`` is not 0 are learned from."""
-    spark = docs.sparkSession
     size = text_bytes(docs, text_col)
     blocks = n_shards(size, block_bytes, 8)
     shard_bits = max(4, (max(1, size // (12 << 20)) - 1).bit_length())  # about two million words a shard
@@ -263,16 +261,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int").alias("block"))
     counted = (dealt.select("block", (~F.col("held_out")).alias("train"), "text").groupBy("block")
                .applyInArrow(count_block(shard_bits), STAGE_SCHEMA))
-    stage = save(counted.groupBy("shard").applyInArrow(count_shard(8 * max_filter_bytes >> shard_bits), STAGE_SCHEMA), "lm-stage")
+    stage = save(counted.groupBy("shard").applyInArrow(count_shard, STAGE_SCHEMA), "lm-stage")
     total = {r["kind"]: r for r in stage.where("block = -1").groupBy("kind").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
     n, v = (total["words"]["a"], total["words"]["b"]) if total else (0.0, 0.0)
-    segments = [bytes(8)] * (1 << shard_bits)
-    for r in stage.where("kind = 'segment'").select("shard", "keys").collect():  # max_filter_bytes at most
-        segments[r["shard"]] = bytes(r["keys"])
-    handle = spark.sparkContext.broadcast(segments)
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = (dealt.groupBy("block").cogroup(stage.where("kind = 'need'").select("block", "shard", "counts").groupBy("block"))
-              .applyInArrow(score_block(handle, shard_bits, n, v, total["mass"]["a"] if total else 0.0,
+    scored = (dealt.groupBy("block").cogroup(stage.where("block >= 0").select("block", "kind", "shard", "keys", "counts").groupBy("block"))
+              .applyInArrow(score_block(shard_bits, n, v, total["mass"]["a"] if total else 0.0,
                                         total["begin"]["a"] if total else 0.0, [id_col, "held_out"]),
                             f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     return scored

@@ -254,3 +254,17 @@ def test_token_pieces_match_the_library():
     for t in texts:
         got = b"".join(enc.encode_all(token_orc.segments(t)))
         assert got == np.array(tok.encode(t, add_special_tokens=False).ids, np.int32).tobytes(), t[:80]
+
+
+def test_lm_filter_keeps_its_bits_an_entry():
+    """A shard answers the blocks from a segment sized by its entries: strangers are read as unseen however many there are."""
+    rng, n = np.random.default_rng(3), 300_000
+    words, low = np.unique(rng.integers(0, 1 << 60, n, dtype=np.uint64)), np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint64)).astype(np.uint32)
+    seen, out = [np.arange(len(x)) % 2 * 5 for x in (words, low)], lm_scoring._new()
+    lm_scoring._row(out, "word", 0, 0, words.tobytes(), lm_scoring.pack(seen[0]))
+    lm_scoring._row(out, "pair", 0, 0, low.tobytes(), lm_scoring.pack(seen[1]))
+    got = {r["kind"]: r for r in lm_scoring.count_shard(lm_scoring._table(out)).to_pylist()}
+    for kind, have in (("need", seen[0]), ("need pair", seen[1])):
+        level = np.frombuffer(got[kind]["keys"], np.uint8)
+        assert (level[have > 0] >= 2).all() and (level[have == 0] > 0).mean() < 0.02 and (level[have > 0] > 3).mean() < 0.02
+    assert (lm_scoring.unpack(got["need"]["counts"], len(words)) == seen[0]).all()
