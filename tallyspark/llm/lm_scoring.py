@@ -3,8 +3,8 @@
 Counts of words and word pairs of all training texts are quantised to levels
 (powers of two) and stored in a Bloom filter: an n-gram of level q is entered
 as (n-gram, 1) ... (n-gram, q), and read back by probing 1, 2, ... until a miss.
-Words have level 1 + floor(log2 c), pairs floor(log2 c), so that pairs seen once
-take no room.  The filter is made in segments, each by one task from the
+Words and pairs have level 1 + floor(log2 c), so those seen once are entered
+too.  The filter is made in segments, each by one task from the
 n-grams of one hash range, with BITS_PER_ENTRY bits for each entry at every size
 of the input: it errs alike everywhere (it overstates some counts).  A segment
 stays in its task and is probed there, so the filter is never in one place and
@@ -155,21 +155,13 @@ def log2_floor(c: np.ndarray) -> np.ndarray:
     return np.frexp(c.astype(np.float64))[1] - 1
 
 
-def word_level(c: np.ndarray) -> np.ndarray:
+def level_of(c: np.ndarray) -> np.ndarray:
     return np.where(c > 0, 1 + log2_floor(np.maximum(c, 1)), 0)
 
 
-def pair_level(c: np.ndarray) -> np.ndarray:
-    return log2_floor(np.maximum(c, 1))
-
-
-def word_count(level: np.ndarray) -> np.ndarray:
-    """What a word's level stands for: 0, 1, then the middle of a power of two."""
-    return np.where(level > 1, 1.4 * 2.0 ** np.maximum(level - 1, 0), level)
-
-
-def pair_count(level: np.ndarray) -> np.ndarray:
-    return np.where(level > 0, 1.4 * 2.0 ** level, 0.0)
+def count_of(level: np.ndarray) -> np.ndarray:
+    """What a level stands for: 0, 1, then the middle of a power of two."""
+    return np.where(level > 1, 1.4 * 2.0 ** np.maximum(level.astype(np.int64) - 1, 0), level)
 
 
 def gather(keys: list, counts: list, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -195,12 +187,12 @@ def count_shard(table: pa.Table) -> pa.Table:
     words, total, word_at, word_edge = gather([keys[i] for i in of_word], [counts[i] for i in of_word], np.uint64)
     low, many, pair_at, pair_edge = gather([keys[i] for i in of_pair], [counts[i] for i in of_pair], np.uint32)
     pairs = mix64((np.uint64(shard) << np.uint64(32)) | low.astype(np.uint64))
-    level, level_of_pair = word_level(total), pair_level(many)
+    word_levels, pair_levels = level_of(total), level_of(many)
     _row(out, "words", shard, -1, a=float(total.sum()), b=float((total > 0).sum()))
-    _row(out, "mass", shard, -1, a=float(word_count(level).sum()))
-    segment = Segment(int(level.sum() + level_of_pair.sum()))
-    segment.add(words, level)
-    segment.add(pairs, level_of_pair)
+    _row(out, "mass", shard, -1, a=float(count_of(word_levels).sum()))
+    segment = Segment(int(word_levels.sum() + pair_levels.sum()))
+    segment.add(words, word_levels)
+    segment.add(pairs, pair_levels)
     read = segment.read(words)
     for j, i in enumerate(of_word):
         at = word_at[word_edge[j]:word_edge[j + 1]]
@@ -221,11 +213,10 @@ def score_block(shard_bits: int, n: float, v: float, mass: float, texts: float,
         packed, counts = needs.column("keys").to_pylist(), needs.column("counts").to_pylist()
         order = np.argsort(shard, kind="stable")
         of_word, of_pair = order[kind[order] == "need"].tolist(), order[kind[order] == "need pair"].tolist()
-        level = np.frombuffer(b"".join(packed[i] for i in of_word), np.uint8).astype(np.int64)
-        level_of_pair = np.frombuffer(b"".join(packed[i] for i in of_pair), np.uint8).astype(np.int64)
+        word_levels, pair_levels = (np.frombuffer(b"".join(packed[i] for i in which), np.uint8) for which in (of_word, of_pair))
         exact = np.concatenate([np.zeros(0, np.int64), *[unpack(counts[i], len(packed[i])) for i in of_word]])
         pairs, pat = np.unique(pair_keys(tokens, bounds) >> np.uint64(32 - shard_bits), return_inverse=True)
-        if len(exact) != len(words) or len(level_of_pair) != len(pairs):
+        if len(exact) != len(words) or len(pair_levels) != len(pairs):
             raise ValueError("a block's words and counts don't match")
         first = bounds[:-1]
 
@@ -234,9 +225,9 @@ def score_block(shard_bits: int, n: float, v: float, mass: float, texts: float,
 
         base = per_text(np.log10((exact + 0.1) / (n + 0.1 * (v + 1)))[at])
         known = per_text((exact > 0).astype(np.int64)[at])
-        c1 = word_count(level)
+        c1 = count_of(word_levels)
         p1 = ((c1 + 0.1) / (mass + 0.1 * (v + 1)))[at]
-        c2 = pair_count(level_of_pair)[pat]
+        c2 = count_of(pair_levels)[pat]
         before = np.empty(len(tokens))
         before[1:] = c1[at][:-1]
         before[first] = texts

@@ -268,3 +268,27 @@ def test_lm_filter_keeps_its_bits_an_entry():
         level = np.frombuffer(got[kind]["keys"], np.uint8)
         assert (level[have > 0] >= 2).all() and (level[have == 0] > 0).mean() < 0.02 and (level[have > 0] > 3).mean() < 0.02
     assert (lm_scoring.unpack(got["need"]["counts"], len(words)) == seen[0]).all()
+
+
+def test_lm_score_counts_pairs_seen_once(spark):
+    """Scores from the levels of all pairs, those seen once included."""
+    w = [[f"w{i}x{j}" for j in range(40)] for i in range(30)]
+    texts = [(i, " ".join(x)) for i, x in enumerate(w)] + [(100 + i, " ".join([x[0], *x[:0:-1]])) for i, x in enumerate(w)]
+    got = by_id(lm_scoring.score_texts(spark.createDataFrame(texts, "doc_id long, text string")))
+    words, pairs, n_texts = Counter(), Counter(), 0
+    split = {i: [None, *t.split(" "), 0] for i, t in texts}
+    for i, t in split.items():
+        if zlib.crc32(str(i).encode()) % 10:
+            words.update(t[1:])
+            pairs.update(zip(t, t[1:]))
+            n_texts += 1
+    stands = lambda c: c if c < 2 else 1.4 * 2.0 ** (c.bit_length() - 1)
+    mass, far = sum(map(stands, words.values())), 0
+    for i, t in split.items():
+        score = 0.0
+        for a, b in zip(t, t[1:]):
+            c1, c2 = n_texts if a is None else stands(words[a]), stands(pairs[a, b])
+            share = min(1.0, c2 / max(c1, c2, 1.0))
+            score += np.log10(lm_scoring.MIX * share + (1 - lm_scoring.MIX) * (stands(words[b]) + 0.1) / (mass + 0.1 * (len(words) + 1)))
+        far += abs(got[i]["score"] - score) > 0.02 * abs(score)  # the filter may overstate a few
+    assert far < 0.25 * len(texts)
