@@ -292,3 +292,42 @@ def test_lm_score_counts_pairs_seen_once(spark):
             score += np.log10(lm_scoring.MIX * share + (1 - lm_scoring.MIX) * (stands(words[b]) + 0.1) / (mass + 0.1 * (len(words) + 1)))
         far += abs(got[i]["score"] - score) > 0.02 * abs(score)  # the filter may overstate a few
     assert far < 0.25 * len(texts)
+
+
+def test_kn_model_is_over_words(spark):
+    """The same words in pairs that were never seen are dearer, though no word is new; probabilities against brute force."""
+    rng = random.Random(2)
+    nouns = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    follow = {x: rng.sample(nouns, 3) for x in nouns}
+
+    def text():
+        w = [rng.choice(nouns)]
+        while len(w) < 80:
+            w.append(rng.choice(follow[w[-1]]))
+        return w
+    good = [text() for _ in range(80)]
+    mixed = [rng.sample(text(), 80) for _ in range(10)]
+    rows = [(i, " ".join(w), "en") for i, w in enumerate(good + mixed)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(80)], "trusted_id long")
+    got = by_id(kn_quality.with_log_prob(docs, trusted, ["doc_id", "lang"], "doc_id", "text"))
+    assert {r["state_"] for i, r in got.items() if i < 80} == {1, 2} and all(got[i]["state_"] == 0 for i in range(80, 90))
+    pairs = Counter()
+    for i, w in enumerate(good):
+        if got[i]["state_"] == 1:
+            pairs.update(zip([None, *w], w))
+    before, n = {}, Counter(w for _, w in pairs)
+    for (a, _), c in pairs.items():
+        before.setdefault(a, []).append(c)
+    d2, d1 = (kn_quality.discounts(*(sum(c == k for c in x.values()) for k in (1, 2, 3, 4))) for x in (pairs, n))
+    for i in (0, 5, 80, 85):
+        low = high = 0.0  # the spelling's share lies between none and all
+        for a, b in zip([None, *rows[i][1].split(" ")], rows[i][1].split(" ")):
+            for spelled in (0.0, 1.0):
+                p = (n[b] - d1[min(n[b], 3)] + sum(d1[min(x, 3)] for x in n.values()) * spelled) / len(pairs)
+                c, of = pairs[a, b], before.get(a, [])
+                if of:
+                    p = (c - d2[min(c, 3)] + sum(d2[min(x, 3)] for x in of) * p) / sum(of)
+                low, high = (low + np.log10(max(p, 1e-9)), high) if not spelled else (low, high + np.log10(p))
+        assert low - 1e-6 <= got[i]["log_prob"] <= high + 1e-6
+    assert max(got[i]["log_prob"] for i in range(80, 90)) < min(got[i]["log_prob"] for i in range(80))
