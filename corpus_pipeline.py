@@ -23,13 +23,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least id) of each component of texts whose sets of
-    five-word shingles are similar by 0.8 or more."""
-    parts = jaccard_join.component_ids(docs, k=5, percent=80)
-    first = parts.where("component_id = doc_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
-    # repeated rows of one id: one stays; null ids name no component and stay
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS).union(docs.select(*COLUMNS).where("doc_id is null"))
+    """One document (the least id, and of its texts the least by a hash) of each
+    component of texts whose sets of five-word shingles are similar by 0.8 or more."""
+    # rows of one id can have different texts: each is a row of its own here; null ids name no component and stay
+    keyed = docs.select(*COLUMNS, F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"))).alias("row_"))
+    first = jaccard_join.component_ids(keyed, id_col="row_", k=5, percent=80).where("component_id = row_").select("row_").distinct()
+    kept = keyed.join(first, "row_", "left_semi").dropDuplicates(["row_"])
+    return kept.select(*COLUMNS).union(docs.select(*COLUMNS).where("doc_id is null"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

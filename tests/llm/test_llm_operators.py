@@ -331,3 +331,13 @@ def test_kn_model_is_over_words(spark):
                 low, high = (low + np.log10(max(p, 1e-9)), high) if not spelled else (low, high + np.log10(p))
         assert low - 1e-6 <= got[i]["log_prob"] <= high + 1e-6
     assert max(got[i]["log_prob"] for i in range(80, 90)) < min(got[i]["log_prob"] for i in range(80))
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    """Rows that share an id but not their text: each is judged by its own component."""
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (5, b), (5, a), (5, c), (5, c), (7, b), (None, a), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in corpus_pipeline.near_copies(spark, docs, "").collect()))
+    assert got == sorted([(1, a), (5, b), (5, c), (0, a), (8, "")])
