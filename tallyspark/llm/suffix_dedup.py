@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,8 @@ from .common import MULT, MULT_INV, Bloom, build_bloom, chunks, mix64, n_shards,
 
 LENGTH, GRAM = 200, 48
 MAX_PIECES = 20_000
+#: Starts of one anchor in one hash range of its merge.
+RANGE_STARTS = 1 << 18
 SEGMENT = 2 << 20
 SPANS = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
 
@@ -272,6 +274,11 @@ def merge_shards(table: pa.Table) -> pa.Table:
     return pa.table({"anchor": pa.array(np.full(len(both), anchor)), "string": pa.array(both)})
 
 
+def hash_ranges(starts: Column) -> Column:
+    """Number of hash ranges of a split anchor with so many starts: about RANGE_STARTS starts a range."""
+    return F.greatest(F.lit(64).cast("long"), F.ceil(starts / RANGE_STARTS))
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, max_pieces: int = MAX_PIECES) -> DataFrame:
     """(t, spans): by text key the byte ranges (start, end), not merged, of its repeated strings."""
     occ = anchor_occurrences(docs, text_col, length)
@@ -298,9 +305,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         split = save(dealt.where("split").select(*cols).groupBy("anchor", "salt").applyInArrow(solve_split, SOLVED), "repeat-split")
         own = split.select("anchor", "piece_key", F.explode(F.arrays_zip("firsts", "lasts")).alias("r")).select(
             "anchor", "piece_key", F.col("r.firsts").alias("first"), F.col("r.lasts").alias("last"))
+        # one row for each max_pieces texts at most
+        hot = per_anchor.where(F.col("kinds") > max_pieces).select("anchor", hash_ranges(F.col("starts")).alias("ranges"))
         strings = split.select("anchor", "piece_key", "salt", F.posexplode("strings").alias("place", "string"))
         packed = (strings.select("anchor", "salt", "string").distinct()
-                  .groupBy("anchor", "salt", F.pmod("string", F.lit(64)).alias("range")).agg(F.collect_list("string").alias("strings")))
+                  .join(F.broadcast(hot), "anchor")
+                  .groupBy("anchor", "salt", F.pmod("string", F.col("ranges")).alias("range")).agg(F.collect_list("string").alias("strings")))
         both = packed.groupBy("anchor", "range").applyInArrow(merge_shards, "anchor long, string long")
         across = strings.join(both, ["anchor", "string"]).select(
             "anchor", "piece_key", F.col("place").cast("long").alias("first"), (F.col("place") + 1).cast("long").alias("last"))

@@ -341,3 +341,17 @@ def test_pipeline_keeps_different_texts_of_one_id(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in corpus_pipeline.near_copies(spark, docs, "").collect()))
     assert got == sorted([(1, a), (5, b), (5, c), (0, a), (8, "")])
+
+
+def test_suffix_ranges_grow_with_the_anchor(spark):
+    """A hotter passage is merged in more ranges, not in larger ones."""
+    rows = spark.createDataFrame([(n,) for n in (1, 10**6, 10**8, 10**10)], "starts long")
+    got = {r[0]: r[1] for r in rows.select("starts", suffix_dedup.hash_ranges(rows["starts"])).collect()}
+    assert got[1] == 64 and all(n / r <= suffix_dedup.RANGE_STARTS for n, r in got.items())
+
+
+def test_suffix_dedup_with_many_ranges(spark, docs, rows, monkeypatch):
+    """The ranges' number does not change what is removed."""
+    few = {i: r["kept"] for i, r in by_id(suffix_dedup.remove_repeats(docs, max_pieces=1)).items()}
+    monkeypatch.setattr(suffix_dedup, "RANGE_STARTS", 2)
+    assert {i: r["kept"] for i, r in by_id(suffix_dedup.remove_repeats(docs, max_pieces=1)).items()} == few
