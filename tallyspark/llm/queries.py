@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, decontaminate, jaccard_join, kn_quality, lm_scoring, quality_rules, secrets, suffix_dedup, token_orc,
-               toxicity)
+from . import (byte_bpe, decontaminate, jaccard_join, kn_quality, lm_scoring, quality_rules, secrets, simhash_cover, spelling,
+               suffix_dedup, token_orc, toxicity, whitening)
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_kn_quality": kn_quality.op9_kn_quality,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_simhash_cover": simhash_cover.op11_simhash_cover,
+    "op12_embedding_whitening": whitening.op12_embedding_whitening,
+    "op13_spelling_groups": spelling.op13_spelling_groups,
 }
 
 ORACLE_SQL: dict[str, str] = {}
