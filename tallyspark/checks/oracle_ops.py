@@ -27,7 +27,7 @@ SELECT user_id, register_time, dt FROM registrations WHERE dt = (SELECT max(dt)
 
 OP_SQL["month_to_date_filter"] = _NOOP + """
 SELECT listing_id, user_id, withdraw_time, CAST(real_amount AS DOUBLE) AS real_amount
-FROM listings WHERE CAST(withdraw_time AS DATE) BETWEEN DATE '1995-06-01' AND DATE '1995-06-30'
+FROM listings WHERE CAST(withdraw_time AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-10'
 """
 
 OP_SQL["distinct_members"] = _NOOP + _REVOLVING
@@ -38,7 +38,7 @@ SELECT dt, biz_id, count(*) AS n FROM decisions WHERE biz_id IN ('10000', '10001
 
 OP_SQL["two_day_filter"] = _NOOP + """
 SELECT flow_id, user_id, dt FROM decisions
-WHERE CAST(inserttime AS DATE) IN (DATE '2024-01-29', DATE '2024-01-30')
+WHERE CAST(inserttime AS DATE) IN (DATE '2024-01-09', DATE '2024-01-10')
 """
 
 OP_SQL["not_in_filter"] = _NOOP + """
@@ -55,14 +55,13 @@ FROM decisions WHERE biz_id IN ('10000', '10001', '11000') GROUP BY dt
 
 OP_SQL["slice_at_date"] = f"""
 j9 AS (WITH {JOB_SQL['limit_application_panel'].strip()}),
-s AS (SELECT *, limit_date = DATE '2024-01-30' AND biz_type = 'cashloan' AS sel FROM j9)
+s AS (SELECT *, limit_date = DATE '2024-01-10' AND biz_type = 'cashloan' AS sel FROM j9)
 SELECT CAST(coalesce(sum(CASE WHEN sel THEN limit_num END), 0) AS DOUBLE) AS users_sum,
        CAST(coalesce(sum(CASE WHEN sel THEN num END), 0) AS DOUBLE) AS num_sum,
        max(CASE WHEN sel THEN pass_rate END) AS pass_rate_max,
        avg(CASE WHEN sel THEN pass_rate END) AS pass_rate_mean,
        max(CASE WHEN sel AND is_reloan = '1' THEN pass_rate_newtoold END) AS n2o_max,
-       CASE WHEN count(CASE WHEN sel THEN 1 END) = 0 THEN 0.0
-            ELSE max(CASE WHEN sel THEN pass_rate END) END AS pass_rate_pick
+       coalesce(max(pass_rate) FILTER (sel), 0.0) AS pass_rate_pick
 FROM s
 """
 
@@ -245,3 +244,41 @@ SELECT c.biz_date, CAST(c.cost AS DOUBLE) AS cost, CAST(v.conv AS BIGINT) AS con
        CAST(c.cost AS DOUBLE) / nullif(CAST(v.conv AS DOUBLE), 0) AS cps
 FROM c LEFT JOIN v ON c.biz_date = v.biz_date
 """
+
+OP_SQL["latest_snapshot_partition"] = _NOOP + """
+SELECT user_id, register_time, DATE '2024-01-31' AS dt FROM first_signup
+"""
+
+_DIRTY = """
+d AS (SELECT *, CAST(flow_id AS BIGINT) AS n FROM decisions)
+"""
+
+OP_SQL["stored_decision_log"] = _DIRTY + """
+SELECT user_id, flow_id, listing_id, if(n % 101 = 0, NULL, date_trunc('second', inserttime)) AS inserttime, dt, biz_id,
+       if(n % 97 = 0, NULL, process_flag) AS process_flag, if(n % 89 = 0, '1', is_reloan) AS is_reloan,
+       if(n % 83 = 0, NULL, is_white_list) AS is_white_list, if(n % 73 = 0, NULL, is_cyclic) AS is_cyclic, paid_loans_cnt,
+       if(n % 79 = 0, NULL, if(credit_limit = 0, '0', CAST(credit_limit AS VARCHAR))) AS credit_limit, risk_grade
+FROM d
+"""
+
+OP_SQL["rejected_values"] = _DIRTY + """,
+v AS (SELECT * FROM (VALUES ('process_flag', 97, 'yes'), ('is_reloan', NULL, NULL), ('is_white_list', 83, ''), ('is_cyclic', 73, 'cyclic'),
+                            ('paid_loans_cnt', NULL, NULL), ('credit_limit', 79, '1,000'), ('inserttime', 101, 'not a time'),
+                            ('dt', NULL, NULL)) t(name, step, txt))
+SELECT v.name AS "column", count(d.n) AS rejected, if(count(d.n) > 0, any_value(v.txt), NULL) AS example
+FROM v LEFT JOIN d ON d.n % v.step = 0 GROUP BY v.name
+"""
+
+OP_SQL["first_in_window_conversion"] = """
+e AS (SELECT user_id, dt AS entry_day, biz_id IN ('10000', '10001') AS counted FROM decisions),
+w AS (SELECT user_id, withdraw_time, CAST(withdraw_time AS DATE) AS d FROM loans),
+firsts AS (SELECT r.d, w.user_id, min(w.withdraw_time) AS first_time
+           FROM (SELECT DISTINCT entry_day AS d FROM e) r JOIN w ON w.d BETWEEN r.d - 1 AND r.d GROUP BY ALL),
+own AS (SELECT DISTINCT user_id, d FROM w)
+SELECT e.entry_day, count(*) FILTER (e.counted) AS entries,
+       count(*) FILTER (e.counted AND CAST(f.first_time AS DATE) = e.entry_day) AS "first",
+       count(*) FILTER (e.counted AND o.user_id IS NOT NULL) AS "any"
+FROM e LEFT JOIN firsts f ON f.user_id = e.user_id AND f.d = e.entry_day
+LEFT JOIN own o ON o.user_id = e.user_id AND o.d = e.entry_day
+GROUP BY ALL
+"""

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions import safe_div
+from tallyspark.functions import flag, safe_div
 
 
 def _keys(on) -> list[str]:
@@ -102,6 +102,39 @@ def same_day_conversion(entry: DataFrame, conv: DataFrame, user: str, entry_day:
     return out.withColumn("rate", safe_div("conv_users", "entry_users"))
 
 
+def first_in_window_flags(events: DataFrame, key: str, event_day: str, day: str = "day") -> DataFrame:
+    """Which days of a key would have its first event in the two days that end
+    there: one row per (key, day) with an event on the day or the day before,
+    ``this_day`` and ``day_before``.  An event is dealt to its own day and the
+    next; the flags come from one aggregate, so a key with very many events is
+    one row a day after the map side.  Null keys and days are left out."""
+    on = F.col(event_day)
+    dealt = F.array(F.struct(on.alias("_d"), F.lit(True).alias("_this")), F.struct(F.date_add(on, 1).alias("_d"), F.lit(False).alias("_this")))
+    return (events.where(F.col(key).isNotNull() & on.isNotNull()).select(F.col(key), F.explode(dealt).alias("_e"))
+            .groupBy(key, F.col("_e._d").alias(day))
+            .agg(F.max("_e._this").alias("this_day"), F.max(~F.col("_e._this")).alias("day_before")))
+
+
+def first_in_window_conversion(entry: DataFrame, events: DataFrame, key: str, entry_day: str, event_day: str,
+                               counted: Column) -> DataFrame:
+    """Daily conversion of entries to a first event of their key, one join.
+
+    For the entries of a day for which ``counted`` holds: ``entries``; ``first``,
+    how many of their keys have an event that day and none the day before (the
+    day's event is the first of the two days that end there); ``any``, how many
+    have an event that day (what the first of the two days of the next run
+    matches).  Days without a counted entry keep a row of zeros.  Entries are
+    counted by (key, day) before the join, events are one row there: a key with
+    a third of all rows meets one row."""
+    e = entry.groupBy(key, entry_day).agg(F.sum(flag(counted)).alias("_n"))
+    f = first_in_window_flags(events, key, event_day, entry_day)
+    n = F.col("_n")
+    return (e.join(f, [key, entry_day], "left").groupBy(entry_day).agg(
+        F.sum(n).cast("bigint").alias("entries"),
+        F.sum(F.when(F.col("this_day") & ~F.col("day_before"), n).otherwise(0)).cast("bigint").alias("first"),
+        F.sum(F.when(F.col("this_day"), n).otherwise(0)).cast("bigint").alias("any")))
+
+
 def membership_flag(df: DataFrame, members: DataFrame, key: str, name: str = "is_member") -> DataFrame:
     """Flag rows whose key is in ``members`` (LEFT JOIN to the distinct member
     set + null test).  The right side is made distinct first, so the join can

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +21,14 @@ def to_long(wide: DataFrame, job: str, metrics: Sequence[str] | None = None) ->
              .select(F.lit(job).alias("job"), "metric", "value"))
 
 
-def metric_table(frames: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Union the jobs' long frames; when two jobs emit the same metric name the
-    later job (list order) wins — the dict-merge rule of the original panel.
-    Names are case-sensitive.  Aggregation, not a window: ``max_by`` on the
-    job ordinal."""
-    parts = [df.withColumn("job_ordinal", F.lit(i)) for i, (_, df) in enumerate(frames)]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    payload = [c for c in u.columns if c not in ("metric", "job_ordinal")]
-    win = F.max_by(F.struct(*payload), "job_ordinal")
-    return (u.groupBy("metric").agg(win.alias("_w"), F.max("job_ordinal").alias("job_ordinal"))
-             .select("metric", *[F.col("_w")[c].alias(c) for c in payload], "job_ordinal"))
+def metric_table(rows: DataFrame) -> DataFrame:
+    """(as_of, job, metric, value) from the jobs' long rows (as_of, job, metric,
+    value, job_ordinal): when two jobs emit the same metric for a day the later
+    job wins — the dict-merge rule of the original panel.  Names are
+    case-sensitive.  Aggregation, not a window: ``max_by`` on the job ordinal."""
+    win = F.max_by(F.struct("job", "value"), "job_ordinal").alias("_w")
+    return (rows.groupBy("as_of", "metric").agg(win)
+            .select("as_of", F.col("_w.job").alias("job"), "metric", F.col("_w.value").alias("value")))
 
 
 def targets_frame(spark: SparkSession, targets: dict) -> DataFrame:
@@ -62,25 +58,45 @@ def day_over_day_change(df: DataFrame, keys: Sequence[str], day_col: str, value_
     One change: ``value_col`` -> ``name`` (reading ``prev_value_col`` on the
     previous day, default ``value_col``).  Several: ``changes`` maps
     name -> (value column, previous-day column), all from one join.
-    ``df`` is a daily frame (one row per key and day).  Written as an equi
-    self-join on (keys, day = previous day + 1) rather than a ``lag`` window,
-    so no step needs all days of a key — or, without keys, the whole frame —
-    in one task.
+    ``df`` is a daily frame (one row per key and day).  Each row is dealt to its
+    own day and, with the values that the next day is compared with, to the day
+    after; one aggregate by (keys, day) brings the two together.  So ``df`` is
+    computed once, and no step needs all days of a key — or, without keys, the
+    whole frame — in one task.  A null key or day is compared with nothing.
     """
     changes = dict(changes or {name: (value_col, prev_value_col or value_col)})
-    prev_cols = {n: f"_prev_{i}" for i, n in enumerate(changes)}
-    prev = df.select(*keys, F.date_add(F.col(day_col), 1).alias(day_col),
-                     *[F.col(src).alias(prev_cols[n]) for n, (_, src) in changes.items()])
-    j = df.join(prev, [*keys, day_col], "left")
-    j = j.withColumns({n: F.col(v) - F.col(prev_cols[n]) for n, (v, _) in changes.items()})
-    return j.drop(*prev_cols.values())
-
-
-def metric_completeness(metrics: DataFrame, expected: DataFrame) -> DataFrame:
-    """Expected catalogue LEFT JOIN produced metrics -> ok / null / missing."""
-    m = metrics.select("metric", "value", F.lit(True).alias("_present"))
-    j = expected.join(F.broadcast(m), "metric", "left")
+    old = list(dict.fromkeys(prev for _, prev in changes.values()))
+    keep = [c for c in df.columns if c not in keys and c != day_col]
+    kind = {f.name: f.dataType for f in df.schema.fields}
+
+    def dealt(day, own: bool) -> list:
+        none = [F.lit(None).cast(kind[c]).alias(c) for c in keep]
+        return [day.alias(day_col), *([F.col(c).alias(c) for c in keep] if own else none),
+                *[(F.lit(None).cast(kind[c]) if own else F.col(c)).alias(f"_old_{c}") for c in old], F.lit(own).alias("_own")]
+
+    known = F.col(day_col).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    own, after = F.struct(*dealt(F.col(day_col), True)), F.struct(*dealt(F.date_add(F.col(day_col), 1), False))
+    both = F.when(known, F.array(own, after)).otherwise(F.array(own))
+    rows = df.select(*keys, F.explode(both).alias("_r")).select(*keys, "_r.*")
+    one = rows.groupBy(*keys, day_col).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in [*keep, *[f"_old_{c}" for c in old]]], F.max("_own").alias("_own"))
+    one = one.where("_own").withColumns({n: F.col(v) - F.col(f"_old_{prev}") for n, (v, prev) in changes.items()})
+    return one.select(*df.columns, *changes)
+
+
+def metric_completeness(metrics: DataFrame, expected: Sequence[tuple[str, str]]) -> DataFrame:
+    """(as_of, job, metric, value, status): every expected (job, metric) of the
+    catalogue for every day of ``metrics`` (as_of, metric, value): ok, null, or
+    missing where the day has no such row.  The catalogue is configuration and is
+    dealt to the days as a literal; days are joined with their own metrics."""
+    kind = "array<struct<job:string,metric:string>>"
+    every = F.from_json(F.lit(json.dumps([{"job": j, "metric": m} for j, m in expected])), kind)
+    asked = metrics.select("as_of").distinct().select("as_of", F.explode(every).alias("e")).select("as_of", "e.*")
+    m = metrics.select("as_of", "metric", "value", F.lit(True).alias("_present"))
+    j = asked.join(m, ["as_of", "metric"], "left")
     status = (F.when(F.col("_present").isNull(), "missing")
                .when(F.col("value").isNull() | F.isnan(F.col("value")), "null")
                .otherwise("ok"))
-    return j.select("job", "metric", "value", status.alias("status"))
+    return j.select("as_of", "job", "metric", "value", status.alias("status"))

@@ -5,27 +5,20 @@ Neither puts one key's rows into a single task:
 * ``first_event_per_key`` is an aggregate (``min`` of a struct ordered by
   time then id), combined map-side before the shuffle (a struct buffer
   plans as a partial + final SortAggregate, which spills).
-* ``event_sequence`` numbers rows per key without a window partitioned by
-  the key.  Rows are range-partitioned on (key, order, tie) — a hot key spans
-  many range partitions — and numbered by position inside their partition;
-  a small per-(partition, key) summary supplies the offset of rows of the
-  same key in earlier partitions.  The partitioned rows are written once
-  (with their partition id and position as columns) and both the summary
-  and the final join read that copy: range bounds are sampled per exchange,
-  so two separately computed copies could disagree on them.
+* ``event_sequence`` numbers rows per key without a window over all rows of a
+  key.  A key's rows are cut into time buckets; rows are numbered within
+  (key, bucket), and a table of row counts by (key, bucket), small beside the
+  rows, gives each bucket the number of rows of its key in earlier ones.
+  Both sides are computed from the input: nothing is written.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Sequence
 
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import materialize
-
 
 def first_event_per_key(df: DataFrame, key: str | Sequence[str], order: str, tie: str,
                         cols: Sequence[str] = ()) -> DataFrame:
@@ -37,24 +30,30 @@ def first_event_per_key(df: DataFrame, key: str | Sequence[str], order: str, tie
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_first")[c].alias(c) for c in payload])
 
 
-def event_sequence(df: DataFrame, key: str, order: str, tie: str, name: str = "seq",
-                   partitions: int | None = None) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY key ORDER BY order, tie) for every row."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, key, order, tie)
-                .sortWithinPartitions(key, order, tie)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    # position inside the partition (monotonic ids are pid<<33 + row index)
-    ranged = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-    # one durable copy: partition ids and positions become plain columns
-    ranged = materialize(ranged.drop("_mid"), f"sequence-{uuid.uuid4().hex[:12]}")
-    summary = ranged.groupBy("_pid", key).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_cnt"))
-    # rows of the same key in earlier range partitions; a key spans at most
-    # ``n`` partitions, so each window partition here is small
-    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_carry", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = ranged.join(summary.select("_pid", key, "_start", "_carry"), ["_pid", key], "inner")
-    seq = F.col("_carry") + F.col("_pos") - F.col("_start") + 1
-    return out.withColumn(name, seq.cast("int")).drop("_pid", "_pos", "_start", "_carry")
+#: Time buckets: how many a day.
+BUCKETS = {"day": 1, "hour": 24, "minute": 1440}
+
+
+def time_bucket(order: str, unit: str) -> Column:
+    """The bucket of a date or timestamp as a number that grows with it; nulls come first, as in an ascending sort."""
+    minute = F.hour(F.col(order).cast("timestamp_ntz")) * 60 + F.minute(F.col(order).cast("timestamp_ntz"))
+    of_day = F.floor(minute * BUCKETS[unit] / 1440) if unit != "day" else F.lit(0)
+    bucket = F.unix_date(F.to_date(F.col(order))).cast("bigint") * BUCKETS[unit] + of_day
+    return F.coalesce(bucket, F.lit(-(1 << 62)))
+
+
+def event_sequence(df: DataFrame, key: str, order: str, tie: str, name: str = "seq", bucket: str = "day") -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY key ORDER BY order, tie) for every row.
+
+    ``order`` is a date or a timestamp.  ``bucket`` (day, hour or minute) bounds
+    what one task sorts: the rows of one key in one bucket.  The counts have one
+    row for each key and bucket with rows; their running sum is the only window
+    over a key.  A null key is a key of its own, as in a window."""
+    rows = df.withColumn("_b", time_bucket(order, bucket))
+    counts = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(key, "_b").orderBy(order, tie))
+    rows = rows.withColumn("_within", within)
+    out = rows.join(counts, rows[key].eqNullSafe(counts["_k"]) & (rows["_b"] == counts["_kb"]))
+    return out.select(*df.columns, (F.col("_before") + F.col("_within")).cast("int").alias(name))

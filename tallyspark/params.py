@@ -1,7 +1,7 @@
 """Run parameters: the reporting day, business targets and code lists.
 
 Dates are always parameters; nothing reads the clock.  ``as_of`` is the last
-complete day ("yesterday" of the run); ``run_date = as_of + 1``.
+complete day ("yesterday" of the run); the run day is ``as_of + 1``.
 """
 
 from __future__ import annotations
@@ -58,18 +58,28 @@ TERM_DAYS_CASH = 15                        # days per cash-loan period
 TERM_DAYS_BNPL = 30                        # days per BNPL period
 
 
+# FIXED VALUES — codes of the production tables.
+BNPL_PRODUCT = "bnpl_chuanyin"
+PAID_CHANNELS = ("tiktok", "google", "facebook")
+EXCLUDED_CHANNELS = ("cy_bnpl", "daraz")
+REVOLVING_SINCE = _dt.datetime(2026, 2, 3, 18, 26, 0)
+
+
 @dataclass(frozen=True)
 class Params:
+    """Parameters of a run; the defaults are the production values."""
+
     as_of: _dt.date
-    # per-job override of as_of (test tables put order-book and event-log
-    # roles on different calendars; production runs use one as_of)
+    # the last of several reporting days, as_of being the first (None: one day)
+    until: _dt.date | None = None
+    # per-job override of as_of, for roles that are complete up to another day
     job_as_of: dict = field(default_factory=dict)
     targets: dict = field(default_factory=lambda: dict(TARGETS))
     cash_product: str = "cashloan"
-    bnpl_product: str = "bnpl"
-    paid_channels: tuple = ("tiktok", "google", "facebook")
-    excluded_channels: tuple = ("building",)
-    revolving_since: _dt.datetime = _dt.datetime(2024, 1, 10, 12, 0, 0)
+    bnpl_product: str = BNPL_PRODUCT
+    paid_channels: tuple = PAID_CHANNELS
+    excluded_channels: tuple = EXCLUDED_CHANNELS
+    revolving_since: _dt.datetime = REVOLVING_SINCE
     grain: str = "row"   # 'row' reproduces fan-out counting; 'entity' dedupes
     default_target: float = 1.0
 
@@ -81,24 +91,13 @@ class Params:
         d = self.job_as_of.get(job)
         return replace(self, as_of=d) if d else self
 
-    @property
-    def run_date(self) -> _dt.date:
-        return self.as_of + _dt.timedelta(days=1)
-
-    @property
-    def month_start(self) -> _dt.date:
-        return self.as_of.replace(day=1)
-
     def days_before(self, n: int) -> _dt.date:
         return self.as_of - _dt.timedelta(days=n)
 
 
-# Calendar of the driver's test tables: order-book roles span 1995-2001,
-# event-log roles span January 2024.
-ORDER_AS_OF = _dt.date(1995, 6, 30)
-EVENT_AS_OF = _dt.date(2024, 1, 30)
-ORDER_JOBS = ("daily_loan_panel", "first_payment_default", "settled_loans",
-              "ticket_size_and_term")
+# The test tables: events cover January 2024; on the 10th every metric has a value at sf0.01.
+TEST_AS_OF = _dt.date(2024, 1, 10)
+TEST_DAYS = tuple(_dt.date(2024, 1, d) for d in range(1, 31))
 
 
 def load_targets(path: str, base: dict | None = None) -> dict:
@@ -115,5 +114,7 @@ def load_targets(path: str, base: dict | None = None) -> dict:
 
 
 def test_params(**kw) -> Params:
-    return Params(as_of=EVENT_AS_OF,
-                  job_as_of={j: ORDER_AS_OF for j in ORDER_JOBS}, **kw)
+    """The codes that the test tables are mapped to."""
+    values = dict(as_of=TEST_AS_OF, bnpl_product="bnpl", excluded_channels=("building",),
+                  revolving_since=_dt.datetime(2024, 1, 10, 12, 0, 0))
+    return Params(**{**values, **kw})

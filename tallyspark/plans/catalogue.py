@@ -85,9 +85,12 @@ def expected_catalogue() -> list[tuple[str, str]]:
     return sorted((j, m) for m, j in owner.items())
 
 
-# Report layout: (section, [line templates]); ``{metric:fmt}`` placeholders,
-# fmt in pct / chg / f1 / f2 / int / raw.
+# Report layouts: (section, [line templates]); ``{metric:fmt}`` placeholders,
+# fmt in pct / chg / f1 / f2 / int / raw; ``{$name}`` are text parameters.
+HEADER: tuple[str, list[str]] = ("0 header", ["# Daily business report", "Date: {$as_of}  Unit: {$unit}"])
+
 LAYOUT: list[tuple[str, list[str]]] = [
+    HEADER,
     ("1 overall", [
         "Loan amount excl. cooling-off: {loan_amount_usd:f1}, of month target: {loan_amount_vs_month_target:pct}, "
         "month to date of month target: {loan_amount_mtd_vs_target:pct}",
@@ -149,3 +152,35 @@ LAYOUT: list[tuple[str, list[str]]] = [
         "fpd7 due count: {bnpl_fpd7_due_cnt:int} $fpd7: {bnpl_fpd7_amt:pct}",
     ]),
 ]
+
+_FULL = dict(LAYOUT)
+_OVERALL, _RISK = _FULL["1 overall"], _FULL["4 risk"]
+
+# The older, shorter report: no day-over-day lines, cohort rates in the product section.
+COMPACT: list[tuple[str, list[str]]] = [
+    HEADER,
+    ("1 overall", [
+        *_OVERALL[:3],
+        _OVERALL[4], _OVERALL[5], _OVERALL[6],
+        "Returning-customer loans: {old_loan_cnt:int}",
+        _OVERALL[7], _OVERALL[8], _OVERALL[9],
+    ]),
+    ("2 product", [
+        "T3 new-customer register-to-apply rate: {register_apply_rate_t3:pct}, of month target {register_apply_rate_t3_att:pct}",
+        "Reloan apply rate T0: {reapply_rate_t0:pct}, of month target {reapply_rate_t0_att:pct}",
+        "New-customer limit-to-withdraw rate t0: {new_withdraw_rate_t0:pct}, of month target {new_withdraw_rate_t0_att:pct}",
+        "Returning-customer limit-to-withdraw rate t0: {old_withdraw_rate_t0:pct}, of month target {old_withdraw_rate_t0_att:pct}",
+        "Register-to-limit rate t0: {register_limit_row_t0:pct}, of month target: {register_limit_row_t0_att:pct}",
+    ]),
+    ("3 acquisition", _FULL["3 acquisition"]),
+    ("4 risk", [
+        "Natural-day new-customer limit applicants: {new_limit_users:int}, pass rate: {new_limit_pass_rate:pct}",
+        "Natural-day returning-customer limit applicants: {old_limit_users:int}, pass rate: {old_limit_pass_rate:pct}, "
+        "new-to-returning pass rate: {new_to_old_limit_pass_rate:pct}",
+        *_RISK[4:],
+    ]),
+    ("5 bnpl", _FULL["5 bnpl"]),
+]
+
+LAYOUTS = {"full": LAYOUT, "compact": COMPACT}
+REPORT_PARAMS = {"unit": "USD"}

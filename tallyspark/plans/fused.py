@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.periods import day_between, day_in, latest_snapshot
+from tallyspark.operators.periods import day_between, day_in
 from tallyspark.params import Params
 from tallyspark.session import checkpoint_path, materialize, remove_path
 from tallyspark.sources.roles import Roles
@@ -58,6 +58,9 @@ class PanelRoles(Roles):
         self.run_id = uuid.uuid4().hex[:12]
         self._revolving = None
 
+    def latest(self, name: str, part_col: str = "dt") -> DataFrame:
+        return getattr(self, name)  # slices of a snapshot role hold its latest snapshot only
+
     def _a(self, job: str) -> _dt.date:
         return self.p.for_job(job).as_of
 
@@ -110,7 +113,7 @@ class PanelRoles(Roles):
     def _slice_registrations(self) -> DataFrame:
         lo = min(self._a(j) - D(days=7) for j in
                  ("register_to_deal_same_day", "register_to_limit_t0_t7", "register_to_limit_dod"))
-        r = latest_snapshot(self.base.registrations, "dt")
+        r = self.base.latest("registrations")
         return r.filter(day_between(r, "register_time", lo, None))
 
     def _slice_register_channel(self) -> DataFrame:

@@ -4,7 +4,7 @@ completeness, report) run on the full panel in ``plans.panel``."""
 
 from __future__ import annotations
 
-import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,9 @@ from tallyspark.operators import rollups as G
 from tallyspark.operators.panel import day_over_day_change
 from tallyspark.operators.sequence import event_sequence, first_event_per_key
 from tallyspark.plans import jobs
-from tallyspark.sources.roles import TestDataRoles
+from tallyspark.session import checkpoint_path, materialize
+from tallyspark.sources.decision_log import ATTRIBUTES, MAPS, decisions, rejected_attributes
+from tallyspark.sources.roles import SNAPSHOT_LATEST, SNAPSHOT_OLD, TestDataRoles, WarehouseRoles
 
 
 def _ctx(spark: SparkSession, sf_dir: str, job: str | None = None):
@@ -33,7 +35,7 @@ def loan_sequence(spark, sf_dir) -> DataFrame:
 
 def partition_pruned_scan(spark, sf_dir) -> DataFrame:
     R, p = _ctx(spark, sf_dir)
-    d = R.decisions.filter(F.col("dt") >= F.lit(_dt.date(2024, 1, 15)))
+    d = R.decisions.filter(F.col("dt") >= F.lit(SNAPSHOT_OLD))
     return d.select("flow_id", "user_id", "dt")
 
 
@@ -304,7 +306,63 @@ OPERATOR_QUERIES = {
 }
 
 
-# -- panel operators (full panel at the test calendar's as_of days) ---------
+# -- stored roles -----------------------------------------------------------
+def _scratch(spark, name: str) -> str:
+    return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def latest_snapshot_partition(spark, sf_dir) -> DataFrame:
+    """The registrations as a stored dimension with one full snapshot a day (every user registered by then); the
+    newest one is found in the file listing."""
+    R, _ = _ctx(spark, sf_dir)
+    first = R.registrations.where(F.col("dt") == F.lit(SNAPSHOT_LATEST)).select("user_id", "register_time")
+    days = F.sequence(F.to_date("register_time"), F.lit(SNAPSHOT_LATEST))
+    root = _scratch(spark, "snapshots")
+    (first.withColumn("dt", F.explode(days)).repartition("dt").write.partitionBy("dt").parquet(f"{root}/registrations"))
+    return WarehouseRoles(spark, root).latest("registrations").select("user_id", "register_time", "dt")
+
+
+def _stored_log(spark, sf_dir) -> DataFrame:
+    """The decisions as the log stores them: six maps, text times; some values are dirty (as in the SQL)."""
+    R, _ = _ctx(spark, sf_dir)
+    n = F.col("flow_id").cast("bigint")
+    put = {"process_flag": F.when(n % 97 == 0, "yes"), "is_reloan": F.when(n % 89 == 0, " 1 "), "is_white_list": F.when(n % 83 == 0, ""),
+           "credit_limit": F.when(n % 79 == 0, "1,000"), "is_cyclic": F.when(n % 73 == 0, "cyclic")}
+    d = R.decisions
+    maps = {}
+    for name, (column, key, _) in ATTRIBUTES.items():
+        text = F.coalesce(put[name], attr(name)) if name in put else attr(name)
+        maps.setdefault(column, []).extend([F.lit(key), text])
+    time = F.when(n % 101 == 0, "not a time").otherwise(F.date_format("inserttime", "yyyy-MM-dd HH:mm:ss"))
+    return d.select("user_id", "flow_id", "listing_id", time.alias("inserttime"), F.date_format("dt", "yyyy-MM-dd").alias("dt"),
+                    *[F.create_map(*maps[c]).alias(c) for c in MAPS])
+
+
+def stored_decision_log(spark, sf_dir) -> DataFrame:
+    d = decisions(_stored_log(spark, sf_dir))
+    return d.select("user_id", "flow_id", "listing_id", "inserttime", "dt", *[attr(a).alias(a) for a in ATTRIBUTES])
+
+
+def rejected_values(spark, sf_dir) -> DataFrame:
+    return rejected_attributes(_stored_log(spark, sf_dir))
+
+
+def first_in_window_conversion(spark, sf_dir) -> DataFrame:
+    R, p = _ctx(spark, sf_dir)
+    entry = R.decisions.select("user_id", F.col("dt").alias("entry_day"), attr("biz_id").isin(*P.BIZ_LIMIT_CASH).alias("limit"))
+    events = R.loans.select("user_id", day("withdraw_time").alias("event_day"))
+    return J.first_in_window_conversion(entry, events, "user_id", "entry_day", "event_day", F.col("limit"))
+
+
+OPERATOR_QUERIES.update({
+    "latest_snapshot_partition": latest_snapshot_partition,
+    "stored_decision_log": stored_decision_log,
+    "rejected_values": rejected_values,
+    "first_in_window_conversion": first_in_window_conversion,
+})
+
+
+# -- panel operators (full panel) -------------------------------------------
 def _panel_ctx(spark, sf_dir):
     from tallyspark.plans import panel
     R, p = _ctx(spark, sf_dir)
@@ -316,6 +374,22 @@ def metric_table_q(spark, sf_dir) -> DataFrame:
     return panel.run_panel(R, p)
 
 
+def metric_table_days(spark, sf_dir) -> DataFrame:
+    """The panels of all days of the event log, merged from one table of partials."""
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    return panel.panel_days(R, p, P.TEST_DAYS)
+
+
+def metric_sink(spark, sf_dir) -> DataFrame:
+    """All days stored with every value off by one, then the later half again as it is, read back."""
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    table = materialize(panel.panel_days(R, p, P.TEST_DAYS), f"panel-{uuid.uuid4().hex[:12]}")
+    path = _scratch(spark, "metric-sink")
+    panel.sink_panel(R, p, path, table.withColumn("value", F.col("value") + 1))
+    store = panel.sink_panel(R, p, path, table.where(F.col("as_of") >= F.lit(SNAPSHOT_OLD)))
+    return store.verified()
+
+
 def target_attainment_q(spark, sf_dir) -> DataFrame:
     panel, R, p = _panel_ctx(spark, sf_dir)
     t = panel.run_panel(R, p).filter(~F.col("metric").endswith("_att"))
@@ -324,7 +398,7 @@ def target_attainment_q(spark, sf_dir) -> DataFrame:
 
 def metric_completeness_q(spark, sf_dir) -> DataFrame:
     panel, R, p = _panel_ctx(spark, sf_dir)
-    return panel.completeness(R, p, panel.run_panel(R, p))
+    return panel.completeness(R, p, panel.panel_days(R, p, P.TEST_DAYS))
 
 
 def report_lines_q(spark, sf_dir) -> DataFrame:
@@ -332,9 +406,18 @@ def report_lines_q(spark, sf_dir) -> DataFrame:
     return panel.report(R, p, panel.run_panel(R, p))
 
 
+def report_lines_compact(spark, sf_dir) -> DataFrame:
+    """The older layout, for every day of the event log."""
+    panel, R, p = _panel_ctx(spark, sf_dir)
+    return panel.report(R, p, panel.panel_days(R, p, P.TEST_DAYS), variant="compact")
+
+
 OPERATOR_QUERIES.update({
     "metric_table": metric_table_q,
+    "metric_table_days": metric_table_days,
+    "metric_sink": metric_sink,
     "target_attainment": target_attainment_q,
     "metric_completeness": metric_completeness_q,
     "report_lines": report_lines_q,
+    "report_lines_compact": report_lines_compact,
 })

@@ -1,40 +1,57 @@
 """The daily panel: twenty jobs -> one long metric table -> targets,
-completeness and report lines.
+completeness and report lines, all keyed by the reporting day.
 
-All twenty jobs are lazy plans; ``panel_table`` unions them into a single
-plan, so one action runs every branch and only the ~100-row metric table
-reaches the driver.
+``panel_table`` unions the twenty lazy jobs of one day into a single plan.
+``run_panel`` runs them side by side over shared role slices.  ``panel_days``
+goes the other way round: the additive daily partials are computed once for the
+span that all reporting days need, stored, and every day's panel is a merge of
+them.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import logging
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators import panel as PO
-from tallyspark.operators.report import layout_frame, report_lines
+from tallyspark.operators.report import layout_rows, report_lines
 from tallyspark.params import Params
-from tallyspark.plans.catalogue import ATTAINMENT, LAYOUT, expected_catalogue
+from tallyspark.plans.catalogue import ATTAINMENT, LAYOUTS, REPORT_PARAMS, expected_catalogue
+from tallyspark.plans.formulas import panel_of_days
 from tallyspark.plans.jobs import JOBS
-
+from tallyspark.plans.partials import panel_partials
+from tallyspark.session import materialize
+from tallyspark.sinks.store import KeyedStore
 
 _LOG = logging.getLogger("tallyspark.panel")
 
 
-def job_frames(R, p: Params) -> list[tuple[str, DataFrame]]:
-    out = []
-    for name, _, metrics in JOBS:
+def job_rows(R, p: Params) -> DataFrame:
+    """(as_of, job, metric, value, job_ordinal) of all jobs, one plan."""
+    out = None
+    for i, (name, _, metrics) in enumerate(JOBS):
         pj = p.for_job(name)
-        out.append((name, metrics(R, pj).withColumn("as_of", F.lit(pj.as_of))))
+        df = metrics(R, pj).withColumns({"as_of": F.lit(pj.as_of), "job_ordinal": F.lit(i)})
+        out = df if out is None else out.unionByName(df)
     return out
 
 
 def metric_table(R, p: Params) -> DataFrame:
     """(as_of, job, metric, value): job metrics, last job wins on a shared name."""
-    t = PO.metric_table(job_frames(R, p))
-    return t.select("as_of", "job", "metric", "value")
+    return PO.metric_table(job_rows(R, p))
+
+
+def panel_days(R, p: Params, as_ofs: Iterable[_dt.date]) -> DataFrame:
+    """(as_of, job, metric, value) of several reporting days: the partials are
+    written once under the shared folder, and all days are merged from them in one plan."""
+    as_ofs = sorted(set(as_ofs))
+    parts = materialize(panel_partials(R, p, as_ofs), f"partials-{uuid.uuid4().hex[:12]}")
+    return panel_of_days(parts, p, as_ofs)
 
 
 def attainment(R, p: Params, table: DataFrame | None = None) -> DataFrame:
@@ -74,14 +91,10 @@ def run_panel(R, p: Params, workers: int = 12, log=None, strict: bool = True) ->
        job outputs (~100 rows).
     Returns the panel table (as_of, job, metric, value) read from the run
     folder; nothing but that table's rows can ever reach the driver.
-    ``jobs`` limits the run to some job names (their ordinals, and so the
-    last-wins rule, stay those of the full panel); only the role slices those
-    jobs read are built.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from tallyspark.plans.fused import PanelRoles
-    from tallyspark.session import materialize
 
     S = PanelRoles(R, p)
 
@@ -107,38 +120,37 @@ def run_panel(R, p: Params, workers: int = 12, log=None, strict: bool = True) ->
     u = outs[0]
     for o in outs[1:]:
         u = u.unionByName(o)
-    t = _last_wins(u)
+    t = PO.metric_table(u)
     a = attainment(R, p, t).select("as_of", "job", "metric", "value")
     return t.unionByName(a)
 
 
-def sink_panel(R, p: Params, path: str, table: DataFrame | None = None) -> None:
-    """Metric sink: write the panel under ``path`` partitioned by as_of.
-    Dynamic partition overwrite replaces only the days written, so re-running
-    a day (a retry, a late correction) never duplicates or drops other days.
-    Only a table with every metric of the catalogue is written: an incomplete
-    one is an error, and what the sink holds for its day stays."""
-    table = table if table is not None else run_panel(R, p)
-    lost = [r["metric"] for r in completeness(R, p, table).where("status = 'missing'").collect()]  # the catalogue's at most
-    if lost:
-        raise ValueError(f"the panel is incomplete and is not stored; missing: {', '.join(sorted(lost))}")
-    (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("as_of").parquet(path))
+def metric_store(R, path: str) -> KeyedStore:
+    """The stored panel, replaced day by day (see ``sinks.store``)."""
+    return KeyedStore(R.spark, path, ["as_of"])
 
 
-def _last_wins(u: DataFrame) -> DataFrame:
-    win = F.max_by(F.struct("as_of", "job", "value"), "job_ordinal")
-    return (u.groupBy("metric").agg(win.alias("_w"))
-             .select(F.col("_w.as_of").alias("as_of"), F.col("_w.job").alias("job"), "metric",
-                     F.col("_w.value").alias("value")))
+def sink_panel(R, p: Params, path: str, table: DataFrame | None = None) -> KeyedStore:
+    """Metric sink: the days of ``table`` become current in the store, each as a
+    whole.  Only days with every metric of the catalogue are taken: an incomplete
+    one is an error, and what the store holds for its days stays."""
+    table = table if table is not None else run_panel(R, p)
+    store = metric_store(R, path)
+    run = store.write(table)
+    lost = completeness(R, p, store._rows_of(run)).where("status = 'missing'")
+    named = [f"{r['metric']} ({r['as_of']})" for r in lost.orderBy("as_of", "metric").limit(20).collect()]
+    if named:
+        raise ValueError(f"the panel is incomplete and is not stored; missing: {', '.join(named)}")
+    store.commit(run)
+    return store
 
 
 def completeness(R, p: Params, table: DataFrame | None = None) -> DataFrame:
     table = table if table is not None else panel_table(R, p)
-    expected = R.spark.createDataFrame(expected_catalogue(), "job string, metric string")
-    return PO.metric_completeness(table.drop("job"), expected)
+    return PO.metric_completeness(table.drop("job"), expected_catalogue())
 
 
-def report(R, p: Params, table: DataFrame | None = None) -> DataFrame:
+def report(R, p: Params, table: DataFrame | None = None, variant: str = "full", params: Mapping[str, str] | None = None) -> DataFrame:
+    """(as_of, variant, section, line_no, text) of one layout for every day of the table."""
     table = table if table is not None else panel_table(R, p)
-    return report_lines(table, layout_frame(R.spark, LAYOUT))
+    return report_lines(table, layout_rows(variant, LAYOUTS[variant]), {**REPORT_PARAMS, **(params or {})})

@@ -94,6 +94,12 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the Hadoop FileSystem of the path."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder and
     reading it back.  Survives executor loss (unlike a local checkpoint)."""

@@ -7,63 +7,44 @@ it is produced depends on the deployment:
 * ``WarehouseRoles`` reads one parquet dataset per role (the production
   layout: ``<root>/<role>/`` partitioned by day).
 * ``TestDataRoles`` derives every role from the driver's TPC-H-like test
-  tables (``orders``, ``lineitem``, ``events``, ``customer``).  Order-book
-  roles (listings, installments, daily deals) live on the 1995-2001 order
-  calendar; event-log roles (decisions, registrations, limit loans, funnels,
-  ad cost) on January 2024.  Event attributes come from ``props`` ->
-  ``k`` (0..99).
-
-Role schemas (columns every job may rely on):
-
-decisions         user_id, flow_id, listing_id, inserttime, dt, attrs map<string,string>
-                  dt is the partition day and equals to_date(inserttime) in the session's time zone
-                  attrs keys: biz_id process_flag is_reloan is_white_list is_cyclic
-                              paid_loans_cnt credit_limit risk_grade
-registrations     user_id, register_time, dt (snapshot partition)
-register_channel  user_id, fst_level_channel, campaign_name, register_time
-limit_loan        limit_flow_no, listing_id, loan_apply_no, withdraw_time, loan_apply_time, asset_product
-limit_loan_b      user_id, withdraw_time, is_deal, is_calm_period_repay, asset_product
-loans             listing_id, user_id, withdraw_time, real_amount, period_no, isactive, bid_stage, asset_product
-                  (a listing can have several versions)
-merchant_orders   loan_apply_no, down_payment_ratio
-listings          listing_id, user_id, withdraw_time, real_amount, apply_amount, product_type,
-                  term_quantity, total_period, period_no, product_user_type, asset_product,
-                  asset_subject, is_deal, is_calm_period_repay, bid_stage, total_bid_num map<string,int>
-installments      listing_id, principal, list_amount, due_date, repay_time, debt_status,
-                  period_seq, period_no, is_calm_period_repay, is_deal, isactive, asset_product
-daily_deals       biz_date, channel, product_type, user_type, is_calm_period_repay,
-                  deal_cnt, deal_users, deal_amount
-register_funnel   register_date, asset_product, register_user_cnt, apply_limit_user_cnt,
-                  fst_has_limit_user_cnt, withdraw_succ_user_cnt
-natural_day_funnel biz_date, asset_product, register_user_cnt, fst_apply_limit_user_cnt,
-                  repay_user_cnt, apply_limit_user_cnt_t0, fst_apply_has_limit_user_cnt
-settle_funnel     repay_date, has_limit_user_cnt, reloan_withdraw_user_cnt
-ad_cost           biz_date, fst_level_channel, cost
-daily_conversions biz_date, asset_product, fst_withdraw_succ_cnt
+  tables (``orders``, ``lineitem``, ``events``, ``customer``).  Everything
+  derived from events lies in January 2024; event attributes come from
+  ``props`` -> ``k`` (0..99).  The loan book (listings, installments, daily
+  deals) holds the orders of 1995-2001 as its history and the purchases of
+  the event log as its latest month, so all jobs share one calendar.
+
+The columns and types that every job may rely on are declared in
+``sources/schemas.py``.  Beyond them:
+
+decisions   dt is the partition day and equals to_date(inserttime) in the session's time zone;
+            attrs has the keys of ``decision_log.ATTRIBUTES``
+loans       a listing can have several versions
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.operators.periods import latest_snapshot
+from tallyspark.sources.schemas import SCHEMAS, typed
+from tallyspark.sources.snapshots import read_latest
 from tallyspark.sources.tables import TableSource
 
 MONEY = "decimal(18,2)"
 
-ROLE_NAMES = ("decisions", "registrations", "register_channel", "limit_loan",
-              "limit_loan_b", "loans", "merchant_orders", "listings",
-              "installments", "daily_deals", "register_funnel",
-              "natural_day_funnel", "settle_funnel", "ad_cost",
-              "daily_conversions")
+ROLE_NAMES = tuple(SCHEMAS)
 
 # Snapshot partitions of the registration dimension in the test mapping: the
 # latest snapshot holds every user, an older one a stale copy of early users.
 SNAPSHOT_LATEST = _dt.date(2024, 1, 31)
 SNAPSHOT_OLD = _dt.date(2024, 1, 15)
+# Listings made from purchases are numbered above every order key.
+PURCHASE_LISTING = 10_000_000_000
 
 
 class Roles:
@@ -91,17 +72,33 @@ class Roles:
     def _build(self, name: str) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
+    def latest(self, name: str, part_col: str = "dt") -> DataFrame:
+        """The latest snapshot of a snapshot role."""
+        return latest_snapshot(getattr(self, name), part_col)
+
 
 class WarehouseRoles(Roles):
     """One parquet dataset per role under ``root`` (day-partitioned where the
-    role has a ``dt`` column, so day filters prune partitions)."""
+    role has a ``dt`` column, so day filters prune partitions), read with the
+    role's declared types: a dataset that stores others is an error.
+
+    ``layouts`` makes a role of a dataset stored otherwise: a function from the
+    stored frame to the role (``decision_log.decisions``, or ``conform`` with the
+    stored names)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Callable[[DataFrame], DataFrame]] | None = None):
         super().__init__(spark)
         self.root = root.rstrip("/")
+        self.layouts = layouts or {}
+
+    def _as_role(self, name: str, df: DataFrame) -> DataFrame:
+        return typed(self.layouts[name](df) if name in self.layouts else df, name)
 
     def _build(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return self._as_role(name, self.spark.read.parquet(f"{self.root}/{name}"))
+
+    def latest(self, name: str, part_col: str = "dt") -> DataFrame:
+        return self._as_role(name, read_latest(self.spark, f"{self.root}/{name}", part_col))
 
 
 def _days(ts: Column, n: Column) -> Column:
@@ -135,7 +132,7 @@ class TestDataRoles(Roles):
                 .otherwise(F.when(k < 50, "22050").otherwise("20050")))
         attrs = F.create_map(
             F.lit("biz_id"), biz,
-            F.lit("process_flag"), F.when(k < 70, "1").otherwise("0"),
+            F.lit("process_flag"), F.when(k % 10 < 7, "1").otherwise("0"),
             F.lit("is_reloan"), F.when(k % 3 == 0, "0").otherwise("1"),
             F.lit("is_white_list"), (F.when(k % 10 == 9, "1")
                                       .when(k % 10 == 8, F.lit(None).cast("string"))
@@ -284,32 +281,48 @@ class TestDataRoles(Roles):
             ind((et == "view") & (k < 40)).alias("reloan_withdraw_user_cnt"),
         )
 
-    # -- order book ------------------------------------------------------
+    # -- loan book -------------------------------------------------------
     def _role_listings(self) -> DataFrame:
+        return self._order_listings().union(self._purchase_listings())
+
+    def _order_listings(self) -> DataFrame:
         o = self.src.read("orders", ["o_orderkey", "o_custkey", "o_orderstatus",
                                       "o_totalprice", "o_orderdate", "o_orderpriority"])
         digit = F.substring("o_orderpriority", 1, 1).cast("int")
-        new = F.col("o_custkey") % 3 == 0
-        amount = F.col("o_totalprice").cast(MONEY)
-        return o.select(
-            F.col("o_orderkey").alias("listing_id"),
-            F.col("o_custkey").alias("user_id"),
-            F.col("o_orderdate").alias("withdraw_time"),
-            amount.alias("real_amount"),
-            amount.alias("apply_amount"),
+        return self._listing_columns(
+            o, key=F.col("o_orderkey"), user=F.col("o_custkey"), time=F.col("o_orderdate"), amount=F.col("o_totalprice"),
+            digit=digit, bnpl=F.col("o_orderkey") % 5 == 0, dealt=F.col("o_orderstatus") != "O", named=F.col("o_orderstatus") != "O",
+            refunded=F.col("o_orderstatus") == "P", stage=(F.col("o_orderkey") % 11) * 10)
+
+    def _purchase_listings(self) -> DataFrame:
+        e = self._events(("purchase",))
+        k = F.col("k")
+        return self._listing_columns(
+            e, key=F.col("event_id") + F.lit(PURCHASE_LISTING), user=F.col("user_id"), time=F.col("ts"),
+            amount=F.col("value").cast(MONEY) * 1000,
+            digit=k % 5 + 1, bnpl=k < 20, dealt=k % 7 != 0, named=k % 13 != 0, refunded=k % 9 == 0, stage=(k % 6) * 10 + 50)
+
+    @staticmethod
+    def _listing_columns(df: DataFrame, *, key, user, time, amount, digit, bnpl, dealt, named, refunded, stage) -> DataFrame:
+        new = user % 3 == 0
+        money = amount.cast(MONEY)
+        return df.select(
+            key.alias("listing_id"),
+            user.alias("user_id"),
+            time.alias("withdraw_time"),
+            money.alias("real_amount"),
+            money.alias("apply_amount"),
             (F.lit(30) + digit % 3).alias("product_type"),
             digit.alias("term_quantity"),
             digit.alias("total_period"),
             digit.cast("string").alias("period_no"),
             F.when(new, "new").otherwise("old").alias("product_user_type"),
-            F.when(F.col("o_orderkey") % 5 == 0, "bnpl").otherwise("cashloan").alias("asset_product"),
-            F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("string"))
-             .otherwise("platform").alias("asset_subject"),
-            F.when(F.col("o_orderstatus") == "O", 0).otherwise(1).alias("is_deal"),
-            F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("is_calm_period_repay"),
-            ((F.col("o_orderkey") % 11) * 10).cast("string").alias("bid_stage"),
-            F.create_map(F.lit("deal_non_calm_repay_asc"),
-                         F.when(new, 1).otherwise(2)).alias("total_bid_num"),
+            F.when(bnpl, "bnpl").otherwise("cashloan").alias("asset_product"),
+            F.when(named, "platform").alias("asset_subject"),
+            F.when(dealt, 1).otherwise(0).alias("is_deal"),
+            F.when(refunded, 1).otherwise(0).alias("is_calm_period_repay"),
+            stage.cast("string").alias("bid_stage"),
+            F.create_map(F.lit("deal_non_calm_repay_asc"), F.when(new, 1).otherwise(2)).alias("total_bid_num"),
         )
 
     def _role_daily_deals(self) -> DataFrame:
@@ -326,6 +339,32 @@ class TestDataRoles(Roles):
         )
 
     def _role_installments(self) -> DataFrame:
+        return self._order_installments().union(self._purchase_installments())
+
+    def _purchase_installments(self) -> DataFrame:
+        # two installments a purchase: the first due on its day, the last 15 days later
+        e = self._events(("purchase",))
+        k = F.col("k")
+        first = F.col("period_seq") == 1
+        paid = F.when(first, k % 5 != 4).otherwise(k % 3 != 0)
+        delay = F.when(first, k % 10 - 2).otherwise(k % 4)
+        money = F.col("value").cast(MONEY)
+        return e.withColumn("period_seq", F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")))).select(
+            (F.col("event_id") + F.lit(PURCHASE_LISTING)).alias("listing_id"),
+            money.alias("principal"),
+            money.alias("list_amount"),
+            F.when(first, F.to_date("ts")).otherwise(F.date_add(F.to_date("ts"), 15)).alias("due_date"),
+            F.when(paid, _days(F.col("ts"), delay)).alias("repay_time"),
+            F.when(paid & (k % 17 != 0), 2).when(paid, 3).otherwise(1).alias("debt_status"),
+            "period_seq",
+            F.lit(2).alias("period_no"),
+            F.when(k % 9 == 0, 1).otherwise(0).alias("is_calm_period_repay"),
+            F.lit(1).alias("is_deal"),
+            F.when(k % 10 == 7, 0).otherwise(1).alias("isactive"),
+            self._product(k).alias("asset_product"),
+        )
+
+    def _order_installments(self) -> DataFrame:
         li = self.src.read("lineitem", ["l_orderkey", "l_partkey", "l_linenumber",
                                          "l_extendedprice", "l_discount", "l_returnflag",
                                          "l_linestatus", "l_shipdate"])

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import os
 import threading
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CACHE: dict[tuple, DataFrame] = {}
+# Footers read by this process, by session: entries go with the session's object.
+_CACHE: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 _CACHE_LOCK = threading.Lock()
 
 
@@ -47,14 +49,14 @@ class TableSource:
         stamp = _stamp(path)
         if stamp is None:
             return self.spark.read.parquet(path)
-        key = (id(self.spark), os.path.abspath(path), stamp)
+        key = (os.path.abspath(path), stamp)
         with _CACHE_LOCK:
-            df = _CACHE.get(key)
-        if df is None:
-            df = self.spark.read.parquet(path)
+            schema = _CACHE.setdefault(self.spark, {}).get(key)
+        if schema is None:
+            schema = self.spark.read.parquet(path).schema
             with _CACHE_LOCK:
-                _CACHE[key] = df
-        return df
+                _CACHE[self.spark][key] = schema
+        return self.spark.read.schema(schema).parquet(path)
 
     def read(self, name: str, columns: list[str] | None = None) -> DataFrame:
         if name not in self._frames:
