@@ -60,10 +60,8 @@ class Terms:
 
     def reach(self, job: str, day: _dt.date, as_ofs: Iterable[_dt.date]) -> set[_dt.date]:
         """The reporting days that a partial of ``day`` counts in."""
-        out = set()
-        for _, of, _, window, back, _ in self.rows.values():
-            if of != job:
-                continue
+        out, as_ofs = set(), list(as_ofs)
+        for window, back in {(w, b) for _, of, _, w, b, _ in self.rows.values() if of == job}:
             for a in as_ofs:
                 if (window == "back" and a - day == _dt.timedelta(days=back)) \
                         or (window == "mtd" and a.replace(day=1) <= day <= a) or (window == "open" and a.replace(day=1) <= day):

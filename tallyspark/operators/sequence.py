@@ -42,18 +42,19 @@ def time_bucket(order: str, unit: str) -> Column:
     return F.coalesce(bucket, F.lit(-(1 << 62)))
 
 
-def event_sequence(df: DataFrame, key: str, order: str, tie: str, name: str = "seq", bucket: str = "day") -> DataFrame:
+def event_sequence(df: DataFrame, key: str, order: str, tie: str, name: str = "seq", bucket: str | Column = "day") -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY key ORDER BY order, tie) for every row.
 
-    ``order`` is a date or a timestamp.  ``bucket`` (day, hour or minute) bounds
-    what one task sorts: the rows of one key in one bucket.  The counts have one
+    ``order`` is a date or a timestamp.  ``bucket`` (day, hour or minute; for an
+    ``order`` of another type a number that never falls as it rises) bounds what
+    one task sorts: the rows of one key in one bucket.  The counts have one
     row for each key and bucket with rows; their running sum is the only window
     over a key.  A null key is a key of its own, as in a window."""
-    rows = df.withColumn("_b", time_bucket(order, bucket))
+    rows = df.withColumn("_b", time_bucket(order, bucket) if isinstance(bucket, str) else bucket)
     counts = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy(key, "_b").orderBy(order, tie))
     rows = rows.withColumn("_within", within)
-    out = rows.join(counts, rows[key].eqNullSafe(counts["_k"]) & (rows["_b"] == counts["_kb"]))
+    out = rows.join(counts, rows[key].eqNullSafe(counts["_k"]) & rows["_b"].eqNullSafe(counts["_kb"]))
     return out.select(*df.columns, (F.col("_before") + F.col("_within")).cast("int").alias(name))

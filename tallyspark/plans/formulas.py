@@ -9,7 +9,7 @@ the panel says so (``or0``).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,8 +212,8 @@ def panel_of_days(parts: DataFrame, p: P.Params, as_ofs: Iterable[_dt.date]) ->
     return table.unionByName(att.select("as_of", "job", "metric", "value"))
 
 
-def touched(p: P.Params, job: str, day: _dt.date, as_ofs: Iterable[_dt.date]) -> set[_dt.date]:
-    """The reporting days whose panel uses the partials of ``job`` on ``day``."""
-    T = Terms()
+def touched(p: P.Params, partial_days: Mapping[str, Iterable[_dt.date]], as_ofs: Iterable[_dt.date]) -> set[_dt.date]:
+    """The reporting days whose panel uses any of these partial days (job -> days)."""
+    T, as_ofs = Terms(), set(as_ofs)
     formulas(T, p)
-    return T.reach(job, day, as_ofs)
+    return {a for job, days in partial_days.items() for day in days for a in T.reach(job, day, as_ofs)}

@@ -132,7 +132,7 @@ class TestDataRoles(Roles):
                 .otherwise(F.when(k < 50, "22050").otherwise("20050")))
         attrs = F.create_map(
             F.lit("biz_id"), biz,
-            F.lit("process_flag"), F.when(k % 10 < 7, "1").otherwise("0"),
+            F.lit("process_flag"), F.when(k % 10 < 6, "1").otherwise("0"),
             F.lit("is_reloan"), F.when(k % 3 == 0, "0").otherwise("1"),
             F.lit("is_white_list"), (F.when(k % 10 == 9, "1")
                                       .when(k % 10 == 8, F.lit(None).cast("string"))
@@ -186,7 +186,7 @@ class TestDataRoles(Roles):
             (eid - eid % 5).cast("string").alias("limit_flow_no"),
             eid.cast("string").alias("listing_id"),
             F.concat(F.lit("A"), eid.cast("string")).alias("loan_apply_no"),
-            _days(F.col("ts"), k % 10).alias("withdraw_time"),
+            _days(F.col("ts"), F.when(k % 3 == 0, 0).otherwise(k % 10)).alias("withdraw_time"),
             _days(F.col("ts"), k % 3).alias("loan_apply_time"),
             self._product(k).alias("asset_product"),
         )

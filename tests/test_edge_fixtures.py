@@ -3,6 +3,7 @@ brute-force Python computation of the same rule."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import fmt, map_attr, safe_div
@@ -84,11 +85,11 @@ def test_fx_first_and_sequence(spark):
 
 
 def test_event_sequence_hot_key_spans_partitions(spark):
-    # one user holds most rows; range partitioning splits it over many tasks
+    # one user holds most rows; buckets split it over many tasks
     n = 3000
     rows = [("hot" if i % 10 else f"u{i}", i // 7, i) for i in range(n)]
-    df = spark.createDataFrame(rows, "u string, t long, id long")
-    got = {r.id: r.n for r in event_sequence(df, "u", "t", "id", "n", partitions=16).collect()}
+    df = spark.createDataFrame(rows, "u string, t long, id long").repartition(9)
+    got = {r.id: r.n for r in event_sequence(df, "u", "t", "id", "n", bucket=F.floor(F.col("t") / 20)).collect()}
     want, counters = {}, {}
     for u, t, i in sorted(rows):
         counters[u] = counters.get(u, 0) + 1
@@ -130,12 +131,12 @@ def test_fx_slice(spark):
                                "day date, v double")
     r = T.slice_at(df, "day", d, {"s": ("v", "sum"), "m": ("v", "max"), "a": ("v", "mean"),
                                   "p": ("v", "pick", 0)}).first()
-    assert (r.s, r.m, r.a, r.p) == (0.0, None, None, None)    # row present, value NULL
+    assert (r.s, r.m, r.a, r.p) == (0.0, None, None, 0.0)     # row present, value NULL: 0 on the reporting day
     r = T.slice_at(df, "day", d + dt.timedelta(days=1), {"s": ("v", "sum"), "p": ("v", "pick", 0),
                                                           "q": ("v", "pick", None)}).first()
     assert (r.s, r.p, r.q) == (0.0, 0.0, None)                # day missing
-    r = T.slice_at(df, "day", d - dt.timedelta(days=1), {"p": ("v", "pick", 0)}).first()
-    assert r.p == 0.5
+    r = T.slice_at(df, "day", d, {"p": ("v", "pick", None), "back": ("v", "pick", None, 1), "far": ("v", "sum", None, 3)}).first()
+    assert (r.p, r.back, r.far) == (None, 0.5, 0.2)
 
 
 def test_fx_stage_lexical(spark):
@@ -152,10 +153,11 @@ def test_fx_flags(spark):
 
 
 def test_fx_dup_metric(spark):
-    a = spark.createDataFrame([("j1", "x", 1.0), ("j1", "X", 5.0)], "job string, metric string, value double")
-    b = spark.createDataFrame([("j2", "x", 2.0)], "job string, metric string, value double")
-    got = {r.metric: (r.job, r.value) for r in PO.metric_table([("j1", a), ("j2", b)]).collect()}
-    assert got == {"x": ("j2", 2.0), "X": ("j1", 5.0)}
+    d, e = D(2024, 1, 1), D(2024, 1, 2)
+    rows = spark.createDataFrame([(d, "j1", "x", 1.0, 0), (d, "j1", "X", 5.0, 0), (d, "j2", "x", 2.0, 1), (e, "j1", "x", 7.0, 0)],
+                                 "as_of date, job string, metric string, value double, job_ordinal int")
+    got = {(r.as_of, r.metric): (r.job, r.value) for r in PO.metric_table(rows).collect()}
+    assert got == {(d, "x"): ("j2", 2.0), (d, "X"): ("j1", 5.0), (e, "x"): ("j1", 7.0)}
 
 
 def test_fx_month(spark):
@@ -177,6 +179,54 @@ def test_fx_report_formats(spark):
     assert [x.i for x in r] == ["null", "0", "0", "0", "2", "1234"]
 
 
+def test_day_over_day_keys_nulls_and_kept_columns(spark):
+    rows = [(D(2024, 1, 1), "a", 1.0, 5, "x"), (D(2024, 1, 2), "a", 3.0, 6, None), (D(2024, 1, 2), "b", 9.0, 7, "z"),
+            (D(2024, 1, 3), "a", None, 8, "w"), (D(2024, 1, 4), "a", 2.0, None, "w"), (D(2024, 1, 1), None, 1.0, 1, "n"),
+            (D(2024, 1, 2), None, 2.0, 2, "n"), (None, "a", 4.0, 3, "n")]
+    df = spark.createDataFrame(rows, "d date, k string, v double, n int, t string")
+    out = PO.day_over_day_change(df, ["k"], "d", changes={"dv": ("v", "v"), "dn": ("v", "n")})
+    assert out.columns == ["d", "k", "v", "n", "t", "dv", "dn"]
+    got = {(r.d, r.k): (r.v, r.n, r.t, r.dv, r.dn) for r in out.collect()}
+    assert got == {(D(2024, 1, 1), "a"): (1.0, 5, "x", None, None), (D(2024, 1, 2), "a"): (3.0, 6, None, 2.0, -2.0),
+                   (D(2024, 1, 2), "b"): (9.0, 7, "z", None, None), (D(2024, 1, 3), "a"): (None, 8, "w", None, None),
+                   (D(2024, 1, 4), "a"): (2.0, None, "w", None, -6.0), (D(2024, 1, 1), None): (1.0, 1, "n", None, None),
+                   (D(2024, 1, 2), None): (2.0, 2, "n", None, None), (None, "a"): (4.0, 3, "n", None, None)}
+
+
+def test_first_in_window_hot_user_against_row_number(spark):
+    """A user with most rows, ranked the plain way for each run day."""
+    import random
+    rng = random.Random(3)
+    day = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(12)]
+    who = lambda: "hot" if rng.random() < 0.6 else rng.choice(["u1", "u2", "u3", None])
+    entries = [(who(), rng.choice(day), rng.random() < 0.7) for _ in range(3000)]
+    events = [(who(), rng.choice(day[::2]), rng.random()) for _ in range(400)]
+    e = spark.createDataFrame(entries, "u string, d date, c boolean")
+    v = spark.createDataFrame(events, "u string, vd date, t double")
+    got = {r.d: (r.entries, r["first"], r["any"]) for r in J.first_in_window_conversion(e, v, "u", "d", "vd", F.col("c")).collect()}
+    want = {}
+    for d in {x[1] for x in entries}:
+        first = {}
+        for u, vd, t in events:
+            if u is not None and vd in (d, d - dt.timedelta(days=1)):
+                first[u] = min(first.get(u, (vd, t)), (vd, t))
+        mine = [u for u, x, c in entries if x == d and c]
+        any_ = {u for u, vd, _ in events if vd == d}
+        want[d] = (len(mine), sum(u in first and first[u][0] == d for u in mine), sum(u is not None and u in any_ for u in mine))
+    assert got == want
+
+
+@pytest.mark.parametrize("bucket", ["day", "hour", "minute"])
+def test_event_sequence_equals_row_number(spark, bucket):
+    """A hot key, equal times, null keys and null times, in every bucket width."""
+    from pyspark.sql import Window
+    rows = [(["hot", "a", None][min(i % 5, 2)], None if i % 41 == 0 else dt.datetime(2024, 1, 1 + i % 9, i % 24, (7 * i) % 60), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "u string, t timestamp_ntz, id int").repartition(7)
+    w = Window.partitionBy("u").orderBy("t", "id")
+    want = {r.id: r.n for r in df.withColumn("n", F.row_number().over(w)).collect()}
+    assert {r.id: r.n for r in event_sequence(df, "u", "t", "id", "n", bucket=bucket).collect()} == want
+
+
 def test_day_over_day_gap(spark):
     df = spark.createDataFrame([(D(2024, 1, 1), 0.5), (D(2024, 1, 2), 0.7), (D(2024, 1, 4), 0.1)],
                                "d date, v double")
@@ -217,12 +267,26 @@ def test_cohort_conversion_hot_key_exact(spark):
                 assert (r[f"{name}_rows"], r[f"{name}_conv"]) == want[(r.eday, r.seg, name)], (grain, name)
 
 
-def test_report_missing_metric_prints_null(spark):
-    from tallyspark.operators.report import layout_frame, report_lines
-    layout = [("s", ["A {a:pct}, B {b:f1}, change {c:chg}, count {d:int}"])]
-    metrics = spark.createDataFrame([("a", 0.5), ("d", 12.9)], "metric string, value double")
-    (row,) = report_lines(metrics, layout_frame(spark, layout)).collect()
-    assert row.text == "A 50.0%, B null, change N/A, count 12"
+def test_report_of_two_days_prints_null_for_what_a_day_lacks(spark):
+    from tallyspark.operators.report import layout_rows, report_lines
+    layout = layout_rows("v", [("0 header", ["Date: {$as_of} Unit: {$unit}"]),
+                               ("s", ["A {a:pct}, B {b:f1}, change {c:chg}, count {d:int}", "plain", ""])])
+    d, e = D(2024, 1, 1), D(2024, 1, 2)
+    metrics = spark.createDataFrame([(d, "a", 0.5), (d, "d", 12.9), (e, "a", None), (e, "b", 2.25), (e, "c", 0.1)],
+                                    "as_of date, metric string, value double")
+    got = {(r.as_of, r.section, r.line_no): r.text for r in report_lines(metrics, layout, {"unit": "USD"}).collect()}
+    assert got == {(d, "0 header", 1): "Date: 2024-01-01 Unit: USD", (e, "0 header", 1): "Date: 2024-01-02 Unit: USD",
+                   (d, "s", 1): "A 50.0%, B null, change N/A, count 12", (e, "s", 1): "A null, B 2.3, change +10.0%, count null",
+                   (d, "s", 2): "plain", (e, "s", 2): "plain", (d, "s", 3): "", (e, "s", 3): ""}
+    with pytest.raises(ValueError, match="unit"):
+        report_lines(metrics, layout)
+
+
+def test_completeness_of_two_days(spark):
+    d, e = D(2024, 1, 1), D(2024, 1, 2)
+    metrics = spark.createDataFrame([(d, "a", 1.0), (d, "b", None), (e, "b", float("nan"))], "as_of date, metric string, value double")
+    got = {(r.as_of, r.metric): (r.job, r.status) for r in PO.metric_completeness(metrics, [("j", "a"), ("k", "b")]).collect()}
+    assert got == {(d, "a"): ("j", "ok"), (d, "b"): ("k", "null"), (e, "a"): ("j", "missing"), (e, "b"): ("k", "null")}
 
 
 def test_fx_loan_versions(spark):

@@ -101,7 +101,7 @@ def test_incomplete_panel_leaves_the_sink_alone(spark, roles, params, tmp_path):
     from tallyspark.plans.jobs import JOBS
 
     def rows():
-        return sorted((r.metric, r.value is None, r.value or 0.0) for r in spark.read.parquet(sink).collect())
+        return sorted((r.metric, r.value is None, r.value or 0.0) for r in panel.metric_store(roles, sink).verified().collect())
 
     sink = str(tmp_path / "sink")
     table = panel.run_panel(roles, params)

@@ -34,15 +34,54 @@ def test_cohort_preaggregates_conversion_side(roles, params):
     assert "Window" not in plan
 
 
-def test_event_sequence_has_no_per_key_window_over_rows(roles):
+def test_event_sequence_is_not_written_and_windows_rows_by_bucket(roles):
     df = event_sequence(roles.listings.select("user_id", "listing_id", "withdraw_time"),
                         "user_id", "withdraw_time", "listing_id")
     plan = _plan(df)
-    # the range-partitioned, numbered rows are read back from one written copy
-    assert "sequence-" in plan
-    # the only window runs over the (partition, key) summary, not over rows
-    assert plan.count("Window [") == 1
-    assert "_cnt" in plan.split("Window [")[1][:200]
+    assert "sequence-" not in plan and "materialized" not in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    # rows by (key, bucket); the counts alone by key
+    assert len(windows) == 2
+    rows, counts = sorted(windows, key=lambda line: "row_number" not in line)
+    assert "row_number() windowspecdefinition(user_id#" in rows and "_b#" in rows.split("ASC")[0]
+    assert "sum(_n#" in counts
+
+
+def _role_scans(spark, roles, tmp_path, names):
+    """Roles stored as datasets, so that a plan's scans can be told apart."""
+    from tallyspark.sources.roles import WarehouseRoles
+    for name in names:
+        getattr(roles, name).write.parquet(str(tmp_path / name))
+    return WarehouseRoles(spark, str(tmp_path))
+
+
+def test_day_over_day_jobs_scan_each_role_once(spark, roles, params, tmp_path):
+    roles_of = {"same_day_withdraw_dod": ["decisions", "limit_loan", "loans"], "revolving_withdraw_dod": ["decisions", "loans"],
+                "limit_to_bid_dod": ["decisions", "limit_loan"], "register_to_limit_dod": ["decisions", "registrations"]}
+    roles.registrations.where("dt = date'2024-01-31'").write.partitionBy("dt").parquet(str(tmp_path / "registrations"))
+    W = _role_scans(spark, roles, tmp_path, ["decisions", "limit_loan", "loans"])
+    daily = {n: d for n, d, _ in jobs.JOBS}
+    for name, used in roles_of.items():
+        plan = _plan(daily[name](W, params))
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert len(scans) == len(used), (name, scans)
+        own = {"decisions": "attrs:", "limit_loan": "limit_flow_no:", "loans": "bid_stage:", "registrations": "register_time:"}
+        for role in used:
+            assert sum(own[role] in line for line in scans) == 1, (name, role)
+    assert _plan(daily["revolving_withdraw_dod"](W, params)).count("Join") == 1
+
+
+def test_slice_reads_only_its_days(spark, roles, params):
+    from tallyspark.operators.periods import slice_at
+    g = jobs.limit_application_panel(roles, params)  # with a window over the month, which the slice doesn't use
+    df = slice_at(g, "limit_date", params.as_of, {"n": ("num", "sum"), "r": ("pass_rate", "max"), "before": ("pass_rate", "pick", None, 1)})
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = _plan(df)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [line[line.find("PushedFilters"):] for line in plan.splitlines() if "PushedFilters" in line]
+    assert len(pushed) == 1 and "Window" not in plan
+    assert "GreaterThanOrEqual(ts,2024-01-10" in pushed[0] and "LessThan(ts,2024-01-11" in pushed[0]
+    assert "GreaterThanOrEqual(ts,2024-01-09" in pushed[0]
 
 
 def test_first_event_is_an_aggregate(roles):

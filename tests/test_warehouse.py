@@ -52,7 +52,7 @@ def test_decision_jobs_prune_partitions(spark, roles, params, tmp_path):
     from tallyspark.sources.roles import ROLE_NAMES
     for name in ROLE_NAMES:
         df = getattr(roles, name)
-        (df.write.partitionBy("dt") if name == "decisions" else df.write).parquet(str(tmp_path / name))
+        (df.write.partitionBy("dt") if "dt" in df.columns else df.write).parquet(str(tmp_path / name))
     W = WarehouseRoles(spark, str(tmp_path))
     assert W.decisions.filter("dt <> to_date(inserttime)").count() == 0
     daily = {n: d for n, d, _ in jobs.JOBS}
