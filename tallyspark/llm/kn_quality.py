@@ -52,8 +52,10 @@ HELD = 4
 IS_WORD = byte_table(False, ALNUM_WORD)[1]
 IS_MARK = byte_table(False, SPACE_WORD)[1] & ~IS_WORD
 BEGIN = np.uint64(0xA0761D6478)
-#: The blocks ask in so many turns.
-SLICES = 3
+#: The blocks ask in so many turns, each a fixed share of them: all of a turn's asks and answers are on disk at once.
+SLICES = 4
+#: A block's words are scored so many at a time, whole texts each.
+RUN_WORDS = 1 << 17
 STAGE_SCHEMA = "kind string, shard int, block int, keys binary, counts binary"
 
 
@@ -209,10 +211,36 @@ def from_small(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
 
 
-def by_shard(keys: np.ndarray, shard_bits: int):
-    """(shard, from, to) of rising 64-bit keys, shards without keys left out."""
-    edge = np.searchsorted(keys >> np.uint64(64 - shard_bits), np.arange((1 << shard_bits) + 1, dtype=np.uint64))
-    return [(s, int(edge[s]), int(edge[s + 1])) for s in range(1 << shard_bits) if edge[s + 1] > edge[s]]
+def by_shard(keys: np.ndarray, shard_bits: int) -> list[tuple[int, int, int]]:
+    """(shard, from, to) of rising 64-bit keys, only of shards that have keys."""
+    if not len(keys):
+        return []
+    top = keys >> np.uint64(64 - shard_bits)
+    edge = np.concatenate([[0], np.flatnonzero(top[1:] != top[:-1]) + 1, [len(keys)]]).tolist()
+    return list(zip(top[edge[:-1]].tolist(), edge[:-1], edge[1:]))
+
+
+def sparse(counts: np.ndarray) -> bytes:
+    """Counts of which many are 0: how many, a bit for each that isn't, those as bytes, and those of 255 and more again whole."""
+    has = counts > 0
+    some = counts[has]
+    return (len(counts).to_bytes(4, "little") + np.packbits(has).tobytes() + np.minimum(some, 255).astype(np.uint8).tobytes()
+            + some[some >= 255].astype("<u8").tobytes())
+
+
+def from_sparse(data: bytes) -> tuple[np.ndarray, int]:
+    """(the counts, how many bytes they took)."""
+    n = int.from_bytes(data[:4], "little")
+    end = 4 + -(-n // 8)
+    has = np.unpackbits(np.frombuffer(data[4:end], np.uint8), count=n).astype(bool)
+    some = np.frombuffer(data[end:end + int(has.sum())], np.uint8).astype(np.int64)
+    end += len(some)
+    big = some == 255
+    last = end + 8 * int(big.sum())
+    some[big] = np.frombuffer(data[end:last], "<u8").astype(np.int64)
+    out = np.zeros(n, np.int64)
+    out[has] = some
+    return out, last
 
 
 def stage_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -341,9 +369,9 @@ def answer(asks: pa.Table, tables: pa.Table) -> pa.Table:
     for kind, shard, block, keys in zip(*(asks.column(c).to_pylist() for c in ("kind", "shard", "block", "keys"))):
         if kind == "ask pair":
             asked = from_steps(keys)
-            rows.append(("pair", shard, block, None, len(asked).to_bytes(4, "little") + small(found(pairs, asked, n))))
+            rows.append(("pair", shard, block, None, sparse(found(pairs, asked, n))))
         else:
-            rows.append(("word", shard, block, None, found(words, from_five(keys), sums).astype("<u4").tobytes()))
+            rows.append(("word", shard, block, None, b"".join(sparse(x) for x in found(words, from_five(keys), sums))))
     return pa.Table.from_batches([stage_batch(rows)])
 
 
@@ -354,39 +382,54 @@ def score_block(handle, shard_bits: int, pair_sizes: np.ndarray, word_sizes: np.
 
     def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
         pack = pa.ipc.open_stream(packs.column("pack")[0].as_buffer()).read_all()
+        where = {(k, s): i for i, (k, s) in enumerate(zip(*(answers.column(c).to_pylist() for c in ("kind", "shard"))))}
+        counts = answers.column("counts")
+
+        def got(kind: str, shard: int) -> bytes:  # one shard's answer at a time
+            return counts[where[kind, shard]].as_py()
+
         words, before, spelled, bounds = words_of(pack.column("text_"), np.frombuffer(handle.value, np.float32))
-        got = {(k, s): c for k, s, c in zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "counts")))}
-        pairs = pair_hash(before, words)
-        keys, at = np.unique(pairs, return_inverse=True)
+        keys, at = np.unique(pair_hash(before, words), return_inverse=True)
         c = np.zeros(len(keys), np.int64)
         for s, i, j in by_shard(keys, shard_bits):
             low = keys[i:j] & np.uint64(0xFFFFFFFF)
             asked = distinct(low)
-            data = got["pair", s]
-            if int.from_bytes(data[:4], "little") != len(asked):
+            mine, _ = from_sparse(got("pair", s))
+            if len(mine) != len(asked):
                 raise ValueError("a block's pairs and counts don't match")
-            c[i:j] = from_small(data[4:], len(asked))[np.searchsorted(asked, low)]
+            c[i:j] = mine[np.searchsorted(asked, low)]
+        del keys
         c = c[at]
+        del at
         ids = distinct(np.append(words, BEGIN))
         order, sums = np.argsort(mix64(ids)), np.zeros((5, len(ids)), np.int64)
         for s, i, j in by_shard(mix64(ids[order]), shard_bits):
-            sums[:, order[i:j]] = np.frombuffer(got["word", s], "<u4").reshape(5, -1)
-        n = sums[0][np.searchsorted(ids, words)]
-        total, once, twice, more = sums[1:, np.searchsorted(ids, before)]
-        p = 10.0 ** np.maximum(spelled, -200)
-        if n_pairs:
-            p = (n - cut1[np.minimum(n, 3)] + freed1 * p) / n_pairs
-            whole = np.maximum(total, 1)
-            p = np.where(total > 0, (np.maximum(c - cut2[np.minimum(c, 3)], 0) + (cut2[1] * once + cut2[2] * twice + cut2[3] * more) * p) / whole, p)
-        logs = np.concatenate([[0.0], np.cumsum(np.log10(p))])
+            data = got("word", s)
+            for k in range(5):
+                mine, used = from_sparse(data)
+                sums[k, order[i:j]], data = mine, data[used:]
+        logs = np.zeros(len(bounds))
+        # in runs of texts: what a run needs beside its words is given back before the next
+        cuts = np.unique(np.append(np.searchsorted(bounds, np.arange(0, len(words) + 1, RUN_WORDS)), len(bounds) - 1))
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            lo, hi = int(bounds[first]), int(bounds[last])
+            n = sums[0][np.searchsorted(ids, words[lo:hi])]
+            total, once, twice, more = sums[1:, np.searchsorted(ids, before[lo:hi])]
+            p, mine = 10.0 ** np.maximum(spelled[lo:hi], -200), c[lo:hi]
+            if n_pairs:
+                p = (n - cut1[np.minimum(n, 3)] + freed1 * p) / n_pairs
+                whole = np.maximum(total, 1)
+                p = np.where(total > 0, (np.maximum(mine - cut2[np.minimum(mine, 3)], 0) + (cut2[1] * once + cut2[2] * twice + cut2[3] * more) * p) / whole, p)
+            logs[first + 1:last + 1] = np.add.accumulate(np.concatenate([[0.0], np.log10(p)]))[bounds[first + 1:last + 1] - lo]
+            logs[first + 1:last + 1] -= np.concatenate([[0.0], logs[first + 1:last]]) if last > first + 1 else 0.0
         size = pc.fill_null(pc.binary_length(pack.column("text_")), 0).cast(pa.int64())
-        return pa.Table.from_arrays([*[pack.column(k) for k in keep], pa.array(logs[bounds[1:]] - logs[bounds[:-1]]), size, pack.column("state_")],
+        return pa.Table.from_arrays([*[pack.column(k) for k in keep], pa.array(logs[1:]), size, pack.column("state_")],
                                     names=[*keep, "log_prob", "n_bytes", "state_"])
 
     return run
 
 
-def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col: str, text_col: str, block_bytes: int = 8 << 20) -> DataFrame:
+def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col: str, text_col: str, block_bytes: int = 5 << 20) -> DataFrame:
     """``keep``, ``log_prob`` (log10 of the text's probability), ``n_bytes`` and ``state_`` of all documents."""
     size = text_bytes(docs, text_col)
     blocks = n_shards(size, block_bytes, 8)
