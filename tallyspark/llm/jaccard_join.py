@@ -3,17 +3,24 @@
 A document's set is its distinct k-word shingles.  Equal sets are one class.
 Classes are joined by prefix filtering: under one global order of the shingles,
 two sets with similarity t share one of the first n - ceil(t n) + 1 shingles of
-each.  The order is by rarity, taken from a count sketch of fixed size over all
-documents (any order is exact; a good one keeps frequent shingles out of the
-prefixes).  What is skipped, without losing a link between components:
+each.  The order is by rarity: the number of texts that hold a shingle, counted
+over all documents.  Texts are packed in blocks; a block asks shards (by a hash
+of the shingle) for the counts of its shingles and gets them back, zeros left
+out, so no table of counts is ever in one place and the order is as sharp at any
+size.  A shingle of a single text makes no list.  What is skipped, without losing
+a link between components:
 
 * equal sets: answered once for their class;
 * prefix shingles of a single class: no list;
 * lists with the members of another list: answered once for that member set;
 * lists that tie MAX_FAMILY classes or fewer together: answered as one list, so
   that a set is read once;
-* within a list, entries whose length or place in the set can't reach the
-  threshold (block skipping over the entries sorted by length);
+* within a list, sorted by length, all entries outside the run of lengths that
+  can reach the threshold, found by binary search (one block skip at either end),
+  and those whose place in the set rules it out;
+* the search for a set that is much like the one answered before: its overlaps
+  with all sets of the list are that one's, less and plus the holders of the
+  shingles in which the two differ;
 * entries whose bitmap (the parity of the set's shingles in BITMAP slots) differs
   from every other's in more bits than two similar sets can differ in shingles;
 * pairs that the answers found so far already connect: a list is searched
@@ -23,7 +30,8 @@ Lists of more than MAX_LIST classes are cut into blocks by a hash, solved one
 block a task; blocks of one list that hold several components afterwards are
 then compared two at a time, the pairs of blocks spread over the tasks.
 
-Shingles are compared by 64-bit hashes, classes by 128 bits.
+Shingles are compared by 64-bit hashes, classes by 128 bits; a count is that of
+the texts whose shingle shares the shard and 32 more bits of the hash.
 
 Defined results: null texts and texts without words have the empty set and link
 with nothing; a text with fewer words than k has its whole sequence as the one
@@ -38,14 +46,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (SPACE_WORD, Bloom, build_bloom, byte_table, chunks, doc_shingles, drop_saved, find_words, hash_spans, n_shards, save,
-                     tidy, tidy_group)
+                     text_bytes, tidy, tidy_group)
+from .kn_quality import by_shard, distinct, from_small, from_sparse, from_steps, small, sparse, steps, tidy_pair
 
 FOLD, IS_WORD = byte_table(True, SPACE_WORD)
-SKETCH_LOG2 = 20
+#: Text of a block / of a shard's share of the shingles.
+PACK_BYTES, SHARD_BYTES = 4 << 20, 24 << 20
 MAX_LIST = 4096
 BITMAP = 512
 MAX_FAMILY = 1024
@@ -90,34 +101,85 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFr
     return docs.select(id_col, text_col).mapInArrow(tidy(run), f"id {kind}, n long, s1 long, s2 long")
 
 
-def count_sketch(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
-    """Documents' shingles counted in 2**SKETCH_LOG2 buckets, over all documents."""
-    segments, size = 64, 1 << SKETCH_LOG2
+ASK_SCHEMA = "shard int, block long, keys binary, counts binary"
+
+
+def pack_texts(docs: DataFrame, text_col: str, k: int) -> DataFrame:
+    """(block, pack): the texts with a set, each class once from a task, PACK_BYTES a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        met: set[tuple[int, int]] = set()
+        held, size, block = [], 0, TaskContext.get().partitionId() << 32
+
+        def give():
+            table = pa.table({"t": pa.chunked_array(held)}).combine_chunks()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+                out.write_table(table)
+            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "pack"])
+
         for b in batches:
-            for _, _, h in shingle_sets(b.column(0), k):
-                total += np.bincount((h >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64), minlength=size)
-        parts = total.astype(np.uint32).reshape(segments, -1)
-        at = [i for i in range(segments) if parts[i].any()]
-        if at:
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([parts[i].tobytes() for i in at], pa.binary())], names=["seg", "c"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, np.ndarray] = {}
+            for rows, cut, h in shingle_sets(b.column(0), k):
+                new = []
+                for i, r in enumerate(rows.tolist()):
+                    key = set_key(h[cut[i]:cut[i + 1]])
+                    if key not in met:
+                        met.add(key)
+                        new.append(r)
+                if new:
+                    held.append(b.column(0).take(pa.array(new)).cast(pa.large_string()))
+                    size += held[-1].nbytes
+                if size >= PACK_BYTES:
+                    yield give()
+                    held, size, block = [], 0, block + 1
+        if held:
+            yield give()
+
+    return docs.select(text_col).mapInArrow(tidy(run), "block long, pack binary")
+
+
+def pack_sets(pack, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, shingles) of a pack's sets."""
+    cuts, tokens, total = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)], 0
+    for _, cut, h in shingle_sets(pa.ipc.open_stream(pack).read_all().column("t"), k):
+        cuts.append(cut[1:] + total)
+        tokens.append(h)
+        total += len(h)
+    return np.concatenate(cuts), np.concatenate(tokens)
+
+
+def shard_keys(tokens: np.ndarray, shard_bits: int):
+    """(shard, from, to, 32 bits each after the shard's) of rising tokens."""
+    low = (tokens << np.uint64(shard_bits)) >> np.uint64(32)
+    return [(s, i, j, low[i:j]) for s, i, j in by_shard(tokens, shard_bits)]
+
+
+def ask_counts(k: int, shard_bits: int):
+    """Each block's distinct shingles with the number of its texts that hold them, packed by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for seg, c in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(c.as_py(), np.uint32).astype(np.int64)
-                got[seg] = got[seg] + part if seg in got else part
-        if got:
-            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([x.tobytes() for x in got.values()], pa.binary())], names=["seg", "c"])
+            for block, pack in zip(b.column(0).to_pylist(), b.column(1)):
+                tokens, n = np.unique(pack_sets(pack.as_buffer(), k)[1], return_counts=True)
+                rows = []
+                for s, i, j, low in shard_keys(tokens, shard_bits):
+                    keys, at = np.unique(low, return_inverse=True)
+                    rows.append((s, block, steps(keys), small(np.bincount(at, weights=n[i:j]).astype(np.int64))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                                                 names=["shard", "block", "keys", "counts"])
+
+    return run
 
-    rows = docs.select(text_col).mapInArrow(tidy(run), "seg int, c binary").repartition(16, "seg").mapInArrow(add, "seg int, c binary").collect()
-    out = np.zeros((segments, size // segments), np.int64)  # of fixed size
-    for r in rows:
-        out[r["seg"]] = np.frombuffer(r["c"], np.int64)
-    return out.ravel()
+
+def answer_counts(asks: pa.Table) -> pa.Table:
+    """For each block that asked a shard: how many other texts hold each of its shingles, in the asked order."""
+    keys = [from_steps(x) for x in asks.column("keys").to_pylist()]
+    n = np.concatenate([from_small(c, len(x)) for c, x in zip(asks.column("counts").to_pylist(), keys)])
+    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    others = (np.bincount(at, weights=n).astype(np.int64) - 1)[at]
+    edge = np.cumsum([0, *map(len, keys)])
+    return pa.table({"shard": asks.column("shard"), "block": asks.column("block"), "keys": pa.nulls(len(keys), pa.binary()),
+                     "counts": pa.array([sparse(others[i:j]) for i, j in zip(edge[:-1], edge[1:])], pa.binary())})
 
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -190,45 +252,48 @@ def sets_of_classes(docs: DataFrame, text_col: str, k: int, screen: Bloom) -> Da
     return docs.select(text_col).mapInArrow(tidy(run), "s1 long, s2 long, members binary")
 
 
-def prefixes(docs: DataFrame, text_col: str, k: int, percent: int, sketch, screen: Bloom | None) -> DataFrame:
-    """(token, s1, s2, n, pos, bits) of each prefix shingle, with ``screen`` only
-    of those that pass it, and only then with ``bits``.  A task emits a class once."""
+def prefixes(k: int, percent: int, shard_bits: int):
+    """(token, s1, s2, n, pos, bits) of the prefix shingles that another text holds too, from a pack and its answers."""
+
+    def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
+        cut, h = pack_sets(packs.column("pack")[0].as_buffer(), k)
+        tokens, at = np.unique(h, return_inverse=True)
+        others = np.zeros(len(tokens), np.int64)
+        where, counts = {s: i for i, s in enumerate(answers.column("shard").to_pylist())}, answers.column("counts")
+        for s, i, j, low in shard_keys(tokens, shard_bits):
+            others[i:j] = from_sparse(counts[where[s]].as_py())[0][np.searchsorted(distinct(low), low)]
+        n = np.diff(cut)
+        doc = np.repeat(np.arange(len(n)), n)
+        load = others[at]
+        order = np.lexsort((h, load, doc))
+        pos = np.arange(len(h)) - np.repeat(cut[:-1], n)
+        take = (pos < np.repeat(prefix_size(n, percent), n)) & (load[order] > 0)
+        token, of, pos = h[order][take], doc[take], pos[take]
+        keys = np.zeros((len(n), 2), np.int64)
+        for i in np.unique(of).tolist():
+            keys[i] = set_key(h[cut[i]:cut[i + 1]])
+        maps = parity_bits(h, cut) if len(of) else None
+        return pa.table({"token": pa.array(token.view(np.int64)), "s1": pa.array(keys[of, 0]), "s2": pa.array(keys[of, 1]), "n": pa.array(n[of]),
+                         "pos": pa.array(pos.astype(np.int64)), "bits": pa.array([maps[i].tobytes() for i in of.tolist()], pa.binary())})
+
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = np.frombuffer(sketch.value, np.int64)
-        met: set[tuple[int, int]] = set()
-        for b in batches:
-            cols: dict[str, list] = {c: [] for c in ("token", "s1", "s2", "n", "pos")}
-            bitmaps = []
-            for _, cut, h in shingle_sets(b.column(0), k):
-                n = np.diff(cut)
-                doc = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((h, load[(h >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64)], doc))
-                pos = np.arange(len(h)) - np.repeat(cut[:-1], n)
-                take = pos < np.repeat(prefix_size(n, percent), n)
-                token, of, pos = h[order][take], doc[take], pos[take]
-                if screen is not None:
-                    ok = screen.has(token)
-                    token, of, pos = token[ok], of[ok], pos[ok]
-                keys = np.zeros((len(n), 2), np.int64)
-                new = np.zeros(len(n), bool)
-                for i in np.unique(of).tolist():
-                    key = set_key(h[cut[i]:cut[i + 1]])
-                    if key not in met:
-                        met.add(key)
-                        keys[i], new[i] = key, True
-                ok = new[of]
-                token, of, pos = token[ok], of[ok], pos[ok]
-                if screen is not None:
-                    maps = parity_bits(h, cut)
-                    bitmaps += [maps[i].tobytes() for i in of.tolist()]
-                for c, v in zip(cols, (token.view(np.int64), keys[of, 0], keys[of, 1], n[of], pos)):
-                    cols[c].append(v)
-            flat = [np.concatenate([np.zeros(0, np.int64), *v]).astype(np.int64) for v in cols.values()]
-            bits = pa.array(bitmaps, pa.binary()) if screen is not None else pa.nulls(len(flat[0]), pa.binary())
-            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in flat], bits], names=[*cols, "bits"])
 
-    return docs.select(text_col).mapInArrow(tidy(run), "token long, s1 long, s2 long, n long, pos long, bits binary")
+ENTRY_SCHEMA = "token long, s1 long, s2 long, n long, pos long, bits binary"
+
+
+def list_entries(docs: DataFrame, text_col: str, k: int, percent: int) -> DataFrame:
+    """The entries of all lists: prefix shingles that more than one text holds."""
+    packs = save(pack_texts(docs, text_col, k), "jaccard-packs")
+    # about one shingle of eight bytes for every six bytes of text
+    shard_bits = max(4, (n_shards(text_bytes(docs, text_col), SHARD_BYTES, 1) - 1).bit_length())
+    answers = save(packs.mapInArrow(tidy(ask_counts(k, shard_bits)), ASK_SCHEMA).groupBy("shard")
+                   .applyInArrow(tidy_group(answer_counts), ASK_SCHEMA), "jaccard-counts")
+    rows = save(packs.groupBy("block").cogroup(answers.groupBy("block"))
+                .applyInArrow(tidy_pair(prefixes(k, percent, shard_bits)), ENTRY_SCHEMA), "jaccard-prefixes")
+    drop_saved(answers)
+    drop_saved(packs)
+    return rows
 
 
 class Solver:
@@ -236,29 +301,52 @@ class Solver:
     answer has connected yet."""
 
     def __init__(self, sizes: np.ndarray, places: np.ndarray, sets: list[np.ndarray], percent: int):
+        """The sets come sorted by size, each rising."""
         self.n, self.pos, self.sets, self.t = sizes, places, sets, percent
-        # the list's shingles, numbered: a set is a row of numbers in one flat array
-        self.flat = np.concatenate(sets)
-        self.cut = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.tokens, self.holder = flat[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        self.last, self.overlap = -1, np.zeros(0, np.int64)
+        self.skipped = self.derived = 0  # entries passed over by length / sets answered from another's answers
+
+    def holders(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of ``tokens`` each set holds."""
+        lo, hi = np.searchsorted(self.tokens, tokens, side="left"), np.searchsorted(self.tokens, tokens, side="right")
+        width = hi - lo
+        at = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(lo, width)
+        return np.bincount(self.holder[at], minlength=len(self.n))
+
+    def overlaps(self, a: int) -> np.ndarray:
+        """The sizes of the intersections of set a with all sets, from those of the set answered before where
+        the two are much alike."""
+        mine = self.sets[a]
+        if self.last >= 0:
+            last = self.sets[self.last]
+            came, gone = np.setdiff1d(mine, last, assume_unique=True), np.setdiff1d(last, mine, assume_unique=True)
+            if len(came) + len(gone) < len(mine) // 2:
+                self.derived += 1
+                self.overlap = self.overlap + self.holders(came) - self.holders(gone)
+                self.last = a
+                return self.overlap
+        self.last, self.overlap = a, self.holders(mine)
+        return self.overlap
 
     def linked(self, a: int, others: np.ndarray) -> np.ndarray:
-        """Which of ``others`` have similarity of ``percent`` or more with set a."""
+        """Which of ``others`` (rising) have similarity of ``percent`` or more with set a."""
         n, pos, t = self.n, self.pos, self.t
-        na, nb = n[a], n[others]
+        na = n[a]
+        # the others are sorted by size: only a run of them can be similar
+        lo, hi = np.searchsorted(n[others], -(-t * na // 100)), np.searchsorted(n[others], 100 * na // t, side="right")
+        self.skipped += len(others) - (hi - lo)
+        others = others[lo:hi]
+        nb = n[others]
         # both sets have the list's shingle; at most so many can follow it in both
-        at_most = np.minimum(pos[a], pos[others]) + 1 + np.minimum(na - pos[a], nb - pos[others]) - 1
-        need = -(-t * (na + nb) // (100 + t))
-        others = others[(100 * nb >= t * na) & (100 * na >= t * nb) & (at_most >= need)]
+        at_most = np.minimum(pos[a], pos[others]) + np.minimum(na - pos[a], nb - pos[others])
+        others = others[at_most >= -(-t * (na + nb) // (100 + t))]
         if not len(others):
             return others
-        sizes = n[others]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1]) + np.repeat(self.cut[others] - ends + sizes, sizes)
-        mine = self.sets[a]
-        got = self.flat[at]
-        found = mine[np.minimum(np.searchsorted(mine, got), len(mine) - 1)] == got
-        common = np.add.reduceat(found, ends - sizes, dtype=np.int64)
-        return others[100 * common >= t * (na + sizes - common)]
+        common = self.overlaps(a)[others]
+        return others[100 * common >= t * (na + n[others] - common)]
 
     def connect(self, group: np.ndarray | None = None) -> np.ndarray:
         """Component of each set, named by its first member.  ``group``: components
@@ -351,17 +439,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def link_classes(docs: DataFrame, text_col: str = "text", k: int = 3, percent: int = 90, max_list: int = MAX_LIST) -> DataFrame:
     """(s1, s2, c1, c2) for every class that is linked with another one."""
-    spark = docs.sparkSession
-    sketch = spark.sparkContext.broadcast(count_sketch(docs, text_col, k).tobytes())  # 2**SKETCH_LOG2 * 8 bytes
     h = F.xxhash64("s1", "s2")
-    # shingles in the prefixes of two classes or more
-    live = (prefixes(docs, text_col, k, percent, sketch, None).select("token", h.alias("h")).groupBy("token")
-            .agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count("*").alias("c")).where("a <> b").select("token", "c"))
-    live = save(live, "jaccard-live")
-    rows = prefixes(docs, text_col, k, percent, sketch, build_bloom(live, "token")).join(live, "token")
-    shards = n_shards(live.agg(F.sum("c")).first()[0] or 0, 100_000, 16)
-    rows = save(rows, "jaccard-prefixes")
-    drop_saved(live)
+    found = list_entries(docs, text_col, k, percent)
+    # lists of two classes or more
+    live = found.groupBy("token").agg(F.min(h).alias("a"), F.max(h).alias("b"), F.count("*").alias("c")).where("a <> b").select("token", "c")
+    rows = save(found.join(live, "token"), "jaccard-live")
+    drop_saved(found)
+    shards = n_shards(rows.count(), 100_000, 16)
     plain = "token long, s1 long, s2 long, n long, pos long"
     short = (rows.where(F.col("c") <= max_list).withColumn("shard", F.pmod(F.xxhash64("token"), F.lit(shards)))
              .groupBy("shard").applyInArrow(tidy_group(screen_lists(percent)), plain))

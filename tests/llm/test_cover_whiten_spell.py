@@ -305,3 +305,60 @@ def test_sorted_list_search_finds_every_near_pair_once(letters, long, monkeypatc
         key, short, lo, hi = (np.array([r[i] for r in dealt]) for i in range(4))
         a, b = spelling.near_in_groups(key, short, lo, hi, [r[4] for r in dealt])
         assert sorted((dealt[x][4], dealt[y][4]) for x, y in zip(a.tolist(), b.tolist())) == want
+
+
+# ---------------------------------------------------------------- rarity order and skipping of the Jaccard join
+def test_solver_skips_by_length_and_derives_answers():
+    from tallyspark.llm.jaccard_join import Solver
+    rng = np.random.default_rng(8)
+    base = [np.unique(rng.integers(0, 1 << 60, rng.integers(20, 200), dtype=np.uint64)) for _ in range(12)]
+    sets = []
+    for b in base:
+        for _ in range(6):
+            keep = b[rng.random(len(b)) > 0.03]
+            sets.append(np.unique(np.append(keep, rng.integers(0, 1 << 60, rng.integers(0, 4), dtype=np.uint64))))
+    sets.sort(key=len)
+    size = np.array([len(s) for s in sets])
+    whole = [set(s.tolist()) for s in sets]
+    want = np.arange(len(sets))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(whole[i] & whole[j]) >= 90 * len(whole[i] | whole[j]):
+                a, b = sorted((want[i], want[j]))
+                want[want == b] = a
+    solver = Solver(size, np.zeros(len(sets), np.int64), sets, 90)
+    name = solver.connect()
+    assert len({(a, b) for a, b in zip(name.tolist(), want.tolist())}) == len(set(want.tolist())) == len(set(name.tolist()))
+    assert solver.skipped > len(sets) and solver.derived > len(sets) // 4
+    for a in (0, 7, 30):  # derived overlaps are the overlaps
+        assert solver.overlaps(a).tolist() == [len(whole[a] & w) for w in whole]
+
+
+def test_rarity_order_is_exact_in_every_block(spark, monkeypatch):
+    """A passage that most texts share never makes a list while the texts have shingles of their own."""
+    from tallyspark.llm import jaccard_join
+    rng = random.Random(4)
+    passage = " ".join(f"shared{i}" for i in range(40))
+    texts = [" ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(60)) + " " + passage for _ in range(300)]
+    copies = [t.replace("shared7", "changed", 1) for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard_join, "PACK_BYTES", 1 << 12)
+    entries = jaccard_join.list_entries(docs, "text", 3, 80).collect()
+    lists = Counter(r["token"] for r in entries)
+    assert max(lists.values()) == 2 and len({(r["s1"], r["s2"]) for r in entries}) == 40
+    got = Counter(r["component_id"] for r in jaccard_join.component_ids(docs, percent=80).collect())
+    assert sorted(got.values()) == [1] * 280 + [2] * 20
+
+
+def test_sparse_counts_come_back():
+    from tallyspark.llm.kn_quality import by_shard, from_sparse, sparse
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 8, 1001):
+        for top in (2, 300, 1 << 40):
+            counts = rng.integers(0, top, n)
+            counts[rng.random(n) < 0.5] = 0
+            got, used = from_sparse(sparse(counts) + b"rest")
+            assert (got == counts).all() and used == len(sparse(counts))
+    keys = np.sort(rng.integers(0, 1 << 63, 50, dtype=np.uint64))
+    assert [k for s, i, j in by_shard(keys, 10) for k in keys[i:j].tolist()] == keys.tolist()
+    assert all((keys[i:j] >> np.uint64(54) == s).all() for s, i, j in by_shard(keys, 10)) and by_shard(keys[:0], 10) == []
