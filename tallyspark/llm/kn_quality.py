@@ -268,8 +268,8 @@ def pack_block(docs: pa.Table, trusted: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([docs.column("block")[0].as_py()], pa.int32()), "pack": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
 
-def learn(shard_bits: int):
-    """Each block's distinct word pairs of the texts learned from, with counts, packed by the pair's shard."""
+def learn(shard_bits: int, turn: int):
+    """Each block's distinct word pairs of the texts learned from, with counts, packed by the pair's shard: the even or the odd shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -277,7 +277,7 @@ def learn(shard_bits: int):
                 words, before, _, _ = words_of(pack.filter(pc.equal(pack.column("state_"), 1)).column("text_"))
                 pairs, first, n = np.unique(pair_hash(before, words), return_index=True, return_counts=True)
                 yield stage_batch([("learn", s, block, five(before[first[i:j]]) + five(words[first[i:j]]), small(n[i:j]))
-                                   for s, i, j in by_shard(pairs, shard_bits)])
+                                   for s, i, j in by_shard(pairs, shard_bits) if s % 2 == turn])
 
     return run
 
@@ -443,10 +443,18 @@ def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col:
     marked = trusted.select(F.col("trusted_id").cast(kind).alias("id_"), held, block_of(F.xxhash64(F.col("trusted_id").cast(kind))))
     dealt = docs.select(*keep, F.col(text_col).alias("text_"), F.col(id_col).alias("id_"),
                         block_of(F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(id_col))))
-    packs = save(dealt.groupBy("block").cogroup(marked.groupBy("block")).applyInArrow(pack_block, "block int, pack binary"), "kn-packs")
+
+    def half(df: DataFrame, i: int):
+        return df.where(F.col("block") % 2 == i).groupBy("block")
+
+    # half of the blocks at a time: the texts in the exchange take disk beside their packs
+    shares = [save(half(dealt, i).cogroup(half(marked, i)).applyInArrow(pack_block, "block int, pack binary"), "kn-packs") for i in range(2)]
+    packs = reduce(DataFrame.union, shares)
     handle = docs.sparkSession.sparkContext.broadcast(train(packs).tobytes())  # CLASSES ** ORDER * 4 bytes
-    learned = packs.mapInArrow(tidy(learn(shard_bits)), STAGE_SCHEMA)
-    pairs = save(learned.groupBy("shard").applyInArrow(tidy_group(sum_pairs(shard_bits)), STAGE_SCHEMA), "kn-pairs")
+    # half of the shards at a time, for the same reason
+    summed = [save(packs.mapInArrow(tidy(learn(shard_bits, i)), STAGE_SCHEMA).groupBy("shard")
+                   .applyInArrow(tidy_group(sum_pairs(shard_bits)), STAGE_SCHEMA), "kn-pairs") for i in range(2)]
+    pairs = reduce(DataFrame.union, summed)
     words = save(pairs.where("kind in ('context', 'follower')").groupBy("shard").applyInArrow(tidy_group(sum_words), STAGE_SCHEMA), "kn-words")
 
     def sizes(of: DataFrame, kind: str) -> np.ndarray:  # six numbers a shard
@@ -454,8 +462,8 @@ def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col:
 
     pair_sizes, word_sizes = sizes(pairs, "pair sizes"), sizes(words, "word sizes")
     tables = save(pairs.where("kind = 'pair'").union(words.where("kind = 'word'")), "kn-tables")
-    drop_saved(pairs)
-    drop_saved(words)
+    for table in (*summed, words):
+        drop_saved(table)
     schema = docs.select(*keep).schema.add("log_prob", "double").add("n_bytes", "long").add("state_", "integer")
     score = tidy_pair(score_block(handle, shard_bits, pair_sizes, word_sizes, int(pair_sizes.sum()), keep))
     parts = []
@@ -465,8 +473,8 @@ def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col:
                        .applyInArrow(tidy_pair(answer), STAGE_SCHEMA), "kn-answers")
         parts.append(save(mine.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema), "kn-scores"))
         drop_saved(answers)
-    drop_saved(tables)
-    drop_saved(packs)
+    for table in (tables, *shares):
+        drop_saved(table)
     return reduce(DataFrame.union, parts)
 
 
