@@ -429,7 +429,7 @@ def score_block(handle, shard_bits: int, pair_sizes: np.ndarray, word_sizes: np.
     return run
 
 
-def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col: str, text_col: str, block_bytes: int = 5 << 20) -> DataFrame:
+def with_log_prob(docs: DataFrame, trusted: DataFrame, keep: list[str], id_col: str, text_col: str, block_bytes: int = 4 << 20) -> DataFrame:
     """``keep``, ``log_prob`` (log10 of the text's probability), ``n_bytes`` and ``state_`` of all documents."""
     size = text_bytes(docs, text_col)
     blocks = n_shards(size, block_bytes, 8)
