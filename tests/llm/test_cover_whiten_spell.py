@@ -362,3 +362,72 @@ def test_sparse_counts_come_back():
     keys = np.sort(rng.integers(0, 1 << 63, 50, dtype=np.uint64))
     assert [k for s, i, j in by_shard(keys, 10) for k in keys[i:j].tolist()] == keys.tolist()
     assert all((keys[i:j] >> np.uint64(54) == s).all() for s, i, j in by_shard(keys, 10)) and by_shard(keys[:0], 10) == []
+
+
+# ---------------------------------------------------------------- the pipeline's stages row by row
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each stage after the classifier on all that the one before kept: near copies, benchmark windows, ids.  (The
+    classifier's verdict is a trained model's: without trusted texts it keeps everything.)"""
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken.load
+    import tiktoken
+
+    import corpus_pipeline
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    base = [[word() for _ in range(rng.randint(40, 90))] for _ in range(30)]
+    items = [[word() for _ in range(14)] for _ in range(4)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i in range(12):  # near copies: two changed words of many; and one too far
+        w = list(base[i])
+        for _ in range(1 if i % 2 else 12):
+            w[rng.randrange(len(w))] = word()
+        rows.append((100 + i, " ".join(w)))
+    rows += [(200 + i, " ".join(base[20 + i] + item + base[5])) for i, item in enumerate(items)]
+    rows += [(300, None), (301, ""), (302, "short text"), (303, "short text"), (None, "short text"), (304, "SHORT text")]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(f"b{i}", " ".join(w)) for i, w in enumerate(items)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    sf = str(tmp_path)
+    cols = ("doc_id", "text", "lang", "source", "n_chars")
+
+    def as_rows(df):
+        return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+    first = corpus_pipeline.quality(spark, frame, sf)
+    assert as_rows(first) == Counter(rows)
+    # near copies: components of five-word sets similar by 0.8, the least id of each stays
+    def shingles(t):
+        w = SPACE.findall((t or "").translate(LOW))
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    keyed = [(d, t, shingles(t)) for d, t in rows if d is not None]
+    name = list(range(len(keyed)))
+    for i in range(len(keyed)):
+        for j in range(i):
+            a, b = keyed[i][2], keyed[j][2]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = name[i], name[j]
+                name = [min(x, y) if n in (x, y) else n for n in name]
+    least = {n: min(keyed[i][0] for i in range(len(keyed)) if name[i] == n) for n in name}
+    kept = Counter((d, t) for (d, t, _), n in zip(keyed, name) if least[n] == d) + Counter((d, t) for d, t in rows if d is None)
+    second = corpus_pipeline.near_copies(spark, first, sf)
+    assert as_rows(second) == kept and sum(kept.values()) < len(rows) - 4
+    # decontamination: no ten consecutive words of an item
+    alnum = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {tuple(w[i:i + 10]) for w in items for i in range(len(w) - 9)}
+
+    def clean(t):
+        w = alnum.findall((t or "").translate(LOW))
+        return not any(tuple(w[i:i + 10]) in windows for i in range(len(w) - 9))
+    third = corpus_pipeline.decontaminated(spark, second, sf)
+    want = Counter({k: n for k, n in kept.items() if clean(k[1])})
+    assert as_rows(third) == want and sum(want.values()) == sum(kept.values()) - 4
+    fourth = corpus_pipeline.without_secrets(spark, third, sf)
+    assert as_rows(fourth) == want and list(fourth.columns) == list(cols)  # no text holds a secret
+    ranks = tiktoken.load.load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("b", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sha = lambda t: hashlib.sha256(np.array(library.encode_ordinary(t or ""), "<u4").tobytes()).hexdigest()
+    got = Counter((r["doc_id"], r["ids_sha256"]) for r in corpus_pipeline.encoded(spark, fourth, sf).collect())
+    assert got == Counter({(d, sha(t)): n for (d, t), n in want.items()})
