@@ -55,7 +55,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_classifier", quality), ("ngram_jaccard_join", near_copies), ("benchmark_decontamination", decontaminated),
           ("secret_scans", without_secrets), ("byte_level_bpe", encoded)]
 
-#: Statistics of trained models and iterated links: no SQL.  The stages' operators are tested against brute force one by one.
+#: Statistics of trained models and iterated links: no SQL.  The stages after the classifier are tested row by row against brute force.
 ORACLE_SQL = None
 
 
