@@ -13,9 +13,10 @@ earlier files, one number a file.
 
 The tokenizer drops white space and never looks across it, so texts are
 encoded word by word, with the library, and the ids of words already met are
-kept.  Texts of plain characters are cut into the pieces that the tokenizer's
-own pattern gives instead, each encoded by the library's model.  The result is
-that of encoding the whole text.
+kept.  Words of plain characters are cut into the pieces that the tokenizer's
+own pattern gives instead, by array operations; each distinct piece of a run of
+texts is encoded once, by the library's model.  The result is that of encoding
+the whole text.
 
 Defined results: a null text is empty and yields the end id alone; rows with
 equal ids follow each other ordered by a hash of the text; null ids come
@@ -29,19 +30,18 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Kept, chunks, n_shards, of_process, scratch_path, text_bytes, tidy
+from .common import Kept, chunks, find_words, hash_spans, n_shards, of_process, scratch_path, text_bytes, tidy
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 KEPT_WORDS = 200_000
 CHUNK_BYTES = 1 << 20
-SEGMENT, WHITE = 1 << 16, re.compile("[ \n]")
+WHITE = re.compile(rb"[ \n]")
 
 
 def find_mark(tok) -> tuple[str, int] | None:
@@ -79,26 +79,36 @@ def encode_words(tok, words: list[str], per_call: int = 1000) -> list[bytes]:
 
 
 class Pieces:
-    """Cuts texts into the pieces that the tokenizer's model encodes one by one.
+    """Finds the pieces that the tokenizer's model encodes one by one, by array
+    operations over the code points of many texts.
 
-    For a tokenizer that lower-cases, splits by a pattern and maps bytes to
-    letters, as its own description tells; and for texts of spaces, newlines and
-    characters that normalise to one character each, none part of a composition."""
+    For a tokenizer that lower-cases, splits by ``PATTERN`` and maps bytes to
+    letters, as its own description tells; and for words of characters that
+    normalise to one character each, none part of a composition."""
 
     PLAIN = range(0x21, 0x130)  # below the combining marks
+    #: fixed value: the pattern whose matches ``cut`` finds
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    GAP, LETTER, DIGIT, OTHER, ODD = range(5)
 
-    def __init__(self, tok, pattern: str):
+    def __init__(self, tok):
         import regex
         from tokenizers import pre_tokenizers
         as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         normal = {c: tok.normalizer.normalize_str(c) for c in map(chr, self.PLAIN)}
-        plain = [c for c, n in normal.items() if n == c.lower() and len(n) == 1 and not n.isspace() and not c.isspace()
-                 and (not c.isascii() or as_letters(c)[0][0] == c)]  # ASCII pieces are taken as they are
+        plain = [c for c, n in normal.items() if n == c.lower() and len(n) == 1 and ord(n) in self.PLAIN and not n.isspace()
+                 and not c.isspace() and (not c.isascii() or as_letters(c)[0][0] == c)]  # ASCII pieces are taken as they are
         self.letters = {ord(c): as_letters(c)[0][0] for c in plain}
-        self.odd = re.compile(f"[^ \n{re.escape(''.join(plain))}]").search
+        self.kind = np.full(self.PLAIN.stop + 1, self.ODD, np.uint8)  # the last entry stands for all further characters
+        self.low = np.arange(self.PLAIN.stop + 1, dtype=np.uint32)
+        self.kind[[32, 10]] = self.GAP
+        for c in plain:
+            low = normal[c]
+            self.low[ord(c)] = ord(low)
+            self.kind[ord(c)] = self.LETTER if regex.match(r"\p{L}", low) else self.DIGIT if regex.match(r"\p{N}", low) else self.OTHER
         added = [t.content.lower() for t in tok.get_added_tokens_decoder().values()]
-        self.has_added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
-        self.find, self.model = regex.compile(pattern).findall, tok.model
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.model = tok.model
 
     @classmethod
     def of(cls, tok) -> Pieces | None:
@@ -111,59 +121,139 @@ class Pieces:
         split, letters = cuts
         if split["behavior"] != "Removed" or not split["invert"] or letters["use_regex"] or letters["add_prefix_space"]:
             return None
-        return cls(tok, split["pattern"]["Regex"])
-
-    def cut(self, text: str) -> list[str] | None:
-        """The pieces, None for a text that its words are taken from instead."""
-        low = text.lower()
-        return None if self.odd(text) or self.has_added(low) else self.find(low)
+        return cls(tok) if split["pattern"]["Regex"] == cls.PATTERN else None
+
+    def cut(self, codes: np.ndarray, offs: np.ndarray):
+        """(lower-cased code points, starts, ends, which are whole words for the
+        library) of the pieces of the texts ``codes[offs[i]:offs[i + 1]]``."""
+        at = np.minimum(codes, self.PLAIN.stop)
+        kind, low = self.kind[at], self.low[at]
+        far = at == self.PLAIN.stop
+        low[far] = codes[far]
+        new_text = np.zeros(len(codes) + 1, bool)
+        new_text[offs] = True
+        word = kind != self.GAP
+        changed = new_text[:-1].copy()
+        changed[1:] |= kind[1:] != kind[:-1]
+        start = word & (changed | (kind == self.DIGIT))
+        self._contractions(low, kind, start, new_text)
+        odd = np.flatnonzero(kind == self.ODD)
+        if self.added:
+            text = low.astype("<u4").tobytes().decode("utf-32-le")
+            odd = np.concatenate([odd, np.array([m.start() for m in self.added.finditer(text)], odd.dtype)])
+        whole = np.zeros(0, np.int64)
+        if len(odd):  # their words are pieces of their own
+            first = word & new_text[:-1]
+            first[1:] |= word[1:] & ~word[:-1]
+            first = np.flatnonzero(first)
+            mine = np.unique(np.searchsorted(first, odd, side="right") - 1)
+            whole = first[mine]
+            inside = np.zeros(len(codes) + 1, np.int8)
+            inside[whole] = 1
+            inside[np.append(first[1:], len(codes))[mine]] -= 1
+            start &= np.cumsum(inside[:-1], dtype=np.int8) == 0
+            start[whole] = True
+        end = word.copy()
+        end[:-1] &= start[1:] | ~word[1:] | new_text[1:-1]
+        starts = np.flatnonzero(start)
+        return low, starts, np.flatnonzero(end) + 1, np.isin(starts, whole)
+
+    def _contractions(self, low: np.ndarray, kind: np.ndarray, start: np.ndarray, new_text: np.ndarray) -> None:
+        """'s 't 'm 'd 're 've 'll where a piece starts are pieces; letters behind them start anew."""
+        on = np.append((kind == self.LETTER) & ~new_text[:-1], [False, False])  # letters behind something of their text
+        mark = np.flatnonzero(start & (low == ord("'")) & on[1:-1])
+        after = np.append(low, [0, 0])
+        a, b, more = after[mark + 1], after[mark + 2], on[mark + 2]
+        one = np.isin(a, [ord(c) for c in "stmd"])
+        two = more & ((np.isin(a, [ord("r"), ord("v")]) & (b == ord("e"))) | ((a == ord("l")) & (b == ord("l"))))
+        size = np.where(one, 1, np.where(two, 2, 0))
+        mark, size = mark[size > 0], size[size > 0]
+        start[mark + 1] = False
+        behind = mark + 1 + size
+        start[behind[on[behind]]] = True
 
     def encode(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.translate(self.letters)
         return array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
 
+def same_spans(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
+    """Does each span equal the span that starts at ``like`` and is as long?"""
+    n = ends - starts
+    at = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return bool((codes[at] == codes[at + np.repeat(like - starts, n)]).all())
+
+
 class Encoder:
     """Encodes texts; keeps the packed ids of recent pieces and words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tok, self.kept = Tokenizer.from_file(path), Kept(KEPT_WORDS)
+        self.tok, self.kept, self.words = Tokenizer.from_file(path), Kept(KEPT_WORDS), Kept(KEPT_WORDS // 4)
         self.pieces = Pieces.of(self.tok)
 
-    def _ids(self, names: set[str], encode) -> dict[str, bytes]:
+    @staticmethod
+    def _ids(names: list[str], kept: Kept, encode) -> list[bytes]:
         """Packed ids of each name; ``encode`` gives those of names not met before."""
-        out = {x: self.kept.get(x) for x in names}
-        new = [x for x, ids in out.items() if ids is None]
-        for x, ids in zip(new, encode(new)):
-            out[x] = ids
-            if len(x) <= 64:
-                self.kept.put(x, ids)
+        out = [kept.get(x) for x in names]
+        new = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(new, encode([names[i] for i in new])):
+            out[i] = ids
+            if len(names[i]) <= 64:
+                kept.put(names[i], ids)
         return out
 
-    def _by_words(self, texts: list[str]) -> list[bytes]:
-        words = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
-        ids = self._ids({w for ws in words for w in ws}, lambda new: encode_words(self.tok, new))
-        return [b"".join(map(ids.__getitem__, ws)) for ws in words]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Each text's packed ids."""
-        cuts = [self.pieces.cut(t) if self.pieces else None for t in texts]
-        ids = self._ids({p for c in cuts if c for p in c}, lambda new: map(self.pieces.encode, new))
-        out = [b"" if c is None else b"".join(map(ids.__getitem__, c)) for c in cuts]
-        whole = [i for i, c in enumerate(cuts) if c is None]
-        for i, x in zip(whole, self._by_words([texts[i] for i in whole])):
-            out[i] = x
-        return out
-
-
-def segments(text: str) -> list[str]:
-    """Cuts before a space or newline, each as soon as SEGMENT characters are full."""
-    out, lo = [], 0
-    while len(text) - lo > SEGMENT and (cut := WHITE.search(text, lo + SEGMENT)):
-        out.append(text[lo:cut.start()])
-        lo = cut.start()
-    return [*out, text[lo:]]
+    def _cut(self, codes: np.ndarray, offs: np.ndarray):
+        if self.pieces:
+            return self.pieces.cut(codes, offs)
+        is_word = np.ones(256, bool)
+        is_word[[32, 10]] = False
+        starts, ends, _ = find_words(np.minimum(codes, 255), offs, is_word)
+        return codes, starts, ends, np.ones(len(starts), bool)
+
+    def encode_run(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of each text's ids) of UTF-8 texts ``data[offs[i]:offs[i + 1]]``."""
+        text = data.tobytes().decode("utf-8")
+        codes = data
+        if len(text) != len(data):
+            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            offs = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offs]
+        low, starts, ends, whole = self._cut(codes, offs)
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(offs) - 1, np.int64)
+        keys = hash_spans(low, starts, ends) ^ whole
+        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        if not (np.array_equal((ends - starts)[first][which], ends - starts) and np.array_equal(whole[first][which], whole)
+                and same_spans(low, starts, ends, starts[first][which])):  # two pieces of one hash: each is its own
+            first = which = np.arange(len(starts))
+        lower = text if low is codes else low.astype("<u4").tobytes().decode("utf-32-le")
+        spans = list(zip(starts[first].tolist(), ends[first].tolist(), whole[first].tolist()))
+        ids: list[bytes] = [b""] * len(spans)
+        for of_text, kept, encode, flag in ((lower, self.kept, lambda new: map(self.pieces.encode, new), False),
+                                            (text, self.words, lambda new: encode_words(self.tok, new), True)):
+            mine = [i for i, x in enumerate(spans) if x[2] == flag]
+            if not mine:
+                continue
+            for i, x in zip(mine, self._ids([of_text[spans[i][0]:spans[i][1]] for i in mine], kept, encode)):
+                ids[i] = x
+        n = np.array([len(x) // 4 for x in ids], np.int64)
+        flat, begin, count = np.frombuffer(b"".join(ids), np.int32), (np.cumsum(n) - n)[which], n[which]
+        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        before = np.concatenate([[0], np.cumsum(count)])
+        return flat[at], np.diff(before[np.searchsorted(starts, offs)])
+
+
+def slices(data: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Cuts one text before a space or newline, each as soon as ``size`` bytes are full."""
+    lo = 0
+    while len(data) - lo > size:
+        raw = data[lo + size:].tobytes()
+        found = WHITE.search(raw)
+        if not found:
+            break
+        yield data[lo:lo + size + found.start()]
+        lo += size + found.start()
+    yield data[lo:]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, bytes_per_file: int = 32 << 20,
@@ -178,18 +268,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, by
         enc = of_process(f"words {tokenizer}", lambda: Encoder(tokenizer))
         part = TaskContext.get().partitionId()
         start = 0
-        end = np.array([end_id], np.int32).tobytes()
         for whole in batches:
-            for lo, hi, _, _ in chunks(whole.column(1), CHUNK_BYTES):
+            for lo, hi, data, offs in chunks(whole.column(1), CHUNK_BYTES):
                 b = whole.slice(lo, hi - lo)
-                parts = [segments(t or "") for t in b.column(1).to_pylist()]
-                flat = [s for p in parts for s in p]
-                made = iter([x for i in range(0, len(flat), 512) for x in enc.encode_all(flat[i:i + 512])])
-                packed = [b"".join(islice(made, len(p))) + end for p in parts]
-                n = np.array([len(x) // 4 for x in packed], np.int64)
+                if hi - lo == 1:  # one text, of any length
+                    made = [enc.encode_run(x, np.array([0, len(x)]))[0] for x in slices(data, CHUNK_BYTES)]
+                    flat, n = np.concatenate(made), np.array([sum(map(len, made))])
+                else:
+                    flat, n = enc.encode_run(data, offs)
+                n = n + 1  # with the end id
                 offsets = np.concatenate([[0], np.cumsum(n)])
-                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
-                                               pa.array(np.frombuffer(b"".join(packed), np.int32)))
+                packed = np.full(offsets[-1], end_id, np.int32)
+                is_id = np.ones(len(packed), bool)
+                is_id[offsets[1:] - 1] = False
+                packed[is_id] = flat
+                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(packed))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(start + offsets[:-1]), pa.array(n), ids],
                     names=["doc_id", "part", "local_start", "n_tokens", "token_ids"])
