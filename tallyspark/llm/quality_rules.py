@@ -7,10 +7,17 @@ in any order and with the same result, so sketches of (language, source) groups
 are built in one aggregation and those of a language and of all texts are sums
 of them.  A group's fence for a measure is
 
-    q75 + max(4 * (q75 - q50), floor of the measure)
+    q90 + max(spread of the measure * (q90 - q50), floor of the measure)
 
 from its own sketch, or from its language's, or from that of all texts where
 fewer than ``MIN_GROUP`` texts stand behind it.  A text beyond a fence fails.
+Texts that fail the base rules stand in no sketch.
+
+Spreads and floors are the only constants.  A floor decides where nine texts in
+ten of a group have (nearly) one value: for symbols, where these texts have
+none, it is half a percent.  For repeated lines it nearly always decides: most
+texts have none and a clean one may have a few, which no quantile can tell from
+junk.  Shouting and repeated words are decided by the quantiles.
 
 Measures, in thousandths: symbols and shouted characters to characters in words,
 repeated words to words, repeated lines to lines with words.
@@ -27,10 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-#: measure -> least distance of its fence above the upper quartile
-MEASURES = {"symbols": 20, "shouted": 120, "repeated": 450, "dup_lines": 400}
+#: measure -> (times the distance of q90 from q50 that its fence lies above q90, least distance in thousandths)
+MEASURES = {"symbols": (8, 5), "shouted": (8, 10), "repeated": (20, 100), "dup_lines": (8, 400)}
 MIN_GROUP = 200
-SPREAD = 4
 SPACE = "[ \\t-\\r]"
 
 
@@ -92,23 +98,32 @@ def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*by, "measure")
     rank = merged.withColumns({"upto": F.sum("n").over(w.orderBy("bucket")), "size": F.sum("n").over(w)})
-    floor = F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv])[F.col("measure")]
-    quartiles = rank.groupBy(*by, "measure", "size").agg(
+    spread, floor = (F.create_map(*[F.lit(x) for m, v in MEASURES.items() for x in (m, v[i])])[F.col("measure")] for i in (0, 1))
+    quantiles = rank.groupBy(*by, "measure", "size").agg(
         F.min(F.when(2 * F.col("upto") >= F.col("size"), F.col("bucket"))).alias("q50"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("size"), F.col("bucket"))).alias("q75"))
-    return quartiles.select(*by, "measure", "size",
-                            (F.col("q75") + F.greatest(SPREAD * (F.col("q75") - F.col("q50")), floor)).alias("fence"))
+        F.min(F.when(10 * F.col("upto") >= 9 * F.col("size"), F.col("bucket"))).alias("q90"))
+    return quantiles.select(*by, "measure", "size",
+                            (F.col("q90") + F.greatest(spread * (F.col("q90") - F.col("q50")), floor)).alias("fence"))
 
 
 def group_fences(rows: DataFrame, groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """One row for each (language, source): its fence of each measure."""
+    """One row for each (language, source) of ``rows``: its fence of each measure,
+    from the rows that pass the base rules; null where no row does."""
     lang, source = groups
-    sketch = save(sketches(rows, [lang, source]), "quality-sketches")
+    sketch = save(sketches(rows.where("not base_failed"), [lang, source]), "quality-sketches")
     own, by_lang, of_all = fences(sketch, [lang, source]), fences(sketch, [lang]), fences(sketch, [])
-    g, l, a = own.alias("g"), by_lang.alias("l"), of_all.alias("a")
-    best = (g.join(l, F.col(f"g.{lang}").eqNullSafe(F.col(f"l.{lang}")) & (F.col("g.measure") == F.col("l.measure")))
-            .join(a, F.col("g.measure") == F.col("a.measure"))
-            .select(f"g.{lang}", f"g.{source}", "g.measure",
+    names = rows.groupBy(lang, source).agg(F.count("*").alias("rows")).select(
+        lang, source, F.explode(F.array(*[F.lit(m) for m in MEASURES])).alias("measure"))
+    n, g, l, a = names.alias("n"), own.alias("g"), by_lang.alias("l"), of_all.alias("a")
+
+    def same(other: str, columns: list[str]):
+        out = F.col("n.measure") == F.col(f"{other}.measure")
+        for c in columns:
+            out = out & F.col(f"n.{c}").eqNullSafe(F.col(f"{other}.{c}"))
+        return out
+
+    best = (n.join(g, same("g", [lang, source]), "left").join(l, same("l", [lang]), "left").join(a, same("a", []), "left")
+            .select(f"n.{lang}", f"n.{source}", "n.measure",
                     F.when(F.col("g.size") >= MIN_GROUP, F.col("g.fence"))
                     .when(F.col("l.size") >= MIN_GROUP, F.col("l.fence")).otherwise(F.col("a.fence")).alias("fence")))
     return best.groupBy(lang, source).agg(*[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"{m}_fence") for m in MEASURES])
@@ -118,16 +133,16 @@ def apply_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
                 groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """``keep``, the groups, all measures with their fences, ``base_failed`` and ``kept``."""
     columns = list(dict.fromkeys([*keep, *groups]))
-    rows = save(measured(text_measures(docs, columns, text_col)), "quality-measures")
+    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rows = save(measured(text_measures(docs, columns, text_col)).withColumn("base_failed", base), "quality-measures")
     limits = group_fences(rows, groups)
     lang, source = groups
     r, f = rows.alias("r"), limits.alias("f")
     joined = r.join(f, F.col(f"r.{lang}").eqNullSafe(F.col(f"f.{lang}")) & F.col(f"r.{source}").eqNullSafe(F.col(f"f.{source}")))
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    within = F.lit(True)
+    kept = ~F.col("base_failed")
     for m in MEASURES:
-        within = within & (F.col(m) <= F.col(f"{m}_fence"))
-    return joined.select("r.*", *[f"f.{m}_fence" for m in MEASURES], base.alias("base_failed"), (~base & within).alias("kept"))
+        kept = kept & (F.col(m) <= F.col(f"{m}_fence"))
+    return joined.select("r.*", *[f"f.{m}_fence" for m in MEASURES], kept.alias("kept"))
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:

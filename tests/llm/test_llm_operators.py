@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
 from tallyspark.llm import (byte_bpe, decontaminate, jaccard_join, kn_quality, lm_scoring, quality_rules, secrets, suffix_dedup,
@@ -251,9 +252,120 @@ def test_token_pieces_match_the_library():
     texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
     texts += ["".join(chr(rng.randint(1, 0x17F)) for _ in range(30)) for _ in range(2000)]
     texts += ["", " ", "a<|endoftext|>b", "<|STARTOFTEXT|>.", "DON'T l'été 'S", "word " * 40_000, "x" * 70_000 + " y"]
-    for t in texts:
-        got = b"".join(enc.encode_all(token_orc.segments(t)))
-        assert got == np.array(tok.encode(t, add_special_tokens=False).ids, np.int32).tobytes(), t[:80]
+    expected = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for lo, hi, data, offs in token_orc.chunks(pa.array(texts)):
+        ids, n = enc.encode_run(data, offs)
+        ends = np.cumsum(n)
+        for i in range(lo, hi):
+            assert ids[ends[i - lo] - n[i - lo]:ends[i - lo]].tolist() == expected[i], texts[i][:80]
+    for t, e in zip(texts[-2:], expected[-2:]):  # long texts in slices
+        data = np.frombuffer(t.encode(), np.uint8)
+        parts = list(token_orc.slices(data, 1 << 16))
+        assert b"".join(p.tobytes() for p in parts) == t.encode() and len(parts) > 1
+        assert np.concatenate([enc.encode_run(p, np.array([0, len(p)]))[0] for p in parts]).tolist() == e
+    plain = token_orc.Encoder(path)
+    plain.pieces = None  # a tokenizer made otherwise: all by words
+    some = texts[:200]
+    raw = [t.encode() for t in some]
+    ids, _ = plain.encode_run(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    assert ids.tolist() == [x for e in expected[:200] for x in e]
+
+
+def test_token_files_are_skipped_by_metadata(spark, tmp_path):
+    """Each file holds a range of ids of its own, and its stripes' statistics tell it."""
+    import pyarrow.orc as orc
+    docs = spark.range(40_000).selectExpr("id as doc_id", "concat('word ', id) as text")
+    path = str(tmp_path / "tokens")
+    token_orc.write_tokens(docs, path, P.path("word_bpe_49k.json"), bytes_per_file=100_000, stripe_bytes=1 << 16)
+    got = token_orc.find_documents(token_orc.read_tokens(spark, path), [7, 39_999, 50_000])
+    assert sorted(r["doc_id"] for r in got.collect()) == [7, 39_999]
+    plan = got._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(doc_id" in plan or "PushedFilters: [IsNotNull(doc_id" in plan
+    ranges = []
+    for f in sorted(tmp_path.glob("tokens/*.orc")):
+        ids = orc.ORCFile(f).read(columns=["doc_id"]).column(0)
+        ranges.append((ids[0].as_py(), ids[-1].as_py()))
+    assert len(ranges) >= 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_periodic_texts_make_few_runs():
+    for text in ("a" * 100_000, "abc" * 30_000):
+        runs = [r for part in suffix_dedup.anchor_runs(pa.array([text.encode()]), 200) for r in part[3].tolist()]
+        assert sum(runs) == len(text) - 199 and len(runs) <= len(text) // suffix_dedup.MAX_RUN + 2
+
+
+@pytest.mark.parametrize("max_pieces", [20_000, 1])
+def test_suffix_dedup_of_periodic_texts(spark, max_pieces):
+    rng = random.Random(3)
+    prose = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    texts_ = ["x" * 9000, "abc" * 2500, prose, "y" * 199, "z" * 200, "z" * 201, prose[:500] + "q" * 300 + prose[700:1500], "abc" * 60 + prose[2000:2300]]
+    raw = [t.encode() for t in texts_]
+    seen = Counter(b[j:j + 200] for b in raw for j in range(len(b) - 199))
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    got = by_id(suffix_dedup.remove_repeats(df, max_pieces=max_pieces))
+    for i, b in enumerate(raw):
+        gone = np.zeros(len(b), bool)
+        for j in range(len(b) - 199):
+            if seen[b[j:j + 200]] > 1:
+                gone[j:j + 200] = True
+        assert got[i]["kept"] == bytes(np.frombuffer(b, np.uint8)[~gone]), i
+
+
+def test_quality_fences_follow_their_group(spark):
+    """The same text is kept where its group shouts and fails where nobody does; verdicts equal a plain model's."""
+    rng = random.Random(9)
+
+    def text(shouted):
+        w = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(100)]
+        return " ".join(x.upper() if i < shouted else x for i, x in enumerate(w))
+
+    rows_ = [(f"q{i}", text(i % 4), "en", "quiet") for i in range(400)] + [(f"l{i}", text(i % 40), "en", "loud") for i in range(400)]
+    probe = text(30)
+    rows_ += [("pq", probe, "en", "quiet"), ("pl", probe, "en", "loud"), ("few", probe, None, "rare"), ("none", None, "fr", "empty")]
+    got = {r["doc_id"]: r for r in quality_rules.apply_rules(spark.createDataFrame(rows_, "doc_id string, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows_) and not got["pq"]["kept"] and got["pl"]["kept"] and not got["none"]["kept"]
+
+    def fence(values, measure):
+        spread, floor = quality_rules.MEASURES[measure]
+        at = sorted(v if v < 64 else v >> (v.bit_length() - 6) << (v.bit_length() - 6) for v in values)
+        q50, q90 = at[-(-len(at) // 2) - 1], at[-(-9 * len(at) // 10) - 1]
+        return q90 + max(spread * (q90 - q50), floor)
+
+    passed = [r for r in got.values() if not r["base_failed"]]
+    for r in got.values():
+        group = [x for x in passed if (x["lang"], x["source"]) == (r["lang"], r["source"])]
+        group = group if len(group) >= 200 else [x for x in passed if x["lang"] == r["lang"]]
+        group = group if len(group) >= 200 else passed
+        assert r["kept"] == (not r["base_failed"] and all(r[m] <= fence([x[m] for x in group], m) for m in quality_rules.MEASURES))
+
+
+def test_secret_ledger_scans_only_what_is_new(spark, tmp_path):
+    """A second delivery adds only its new blobs, a new version of the rules all; a
+    blob with most of the paths comes back whole; digests equal a plain search."""
+    ledger = str(tmp_path / "ledger")
+    some = [t for t in texts()] + ["password: hunter2222 x"] * 600
+    rows_ = [(None if i % 3 else i, t, "old") for i, t in enumerate(some)]
+    docs_ = spark.createDataFrame(rows_, "doc_id long, text string, salt_ string").repartition(4)
+    first = docs_.where("pmod(xxhash64(text), 2) = 0")
+    secrets.update_ledger(first, ledger)
+    n_first = secrets.read_ledger(spark, ledger).count()
+    assert n_first == first.selectExpr("coalesce(text, '')").distinct().count()
+    got = secrets.digests(secrets.scan_documents(docs_.drop("salt_"), ledger)).collect()
+    everything = {t or "" for t in some}
+    assert secrets.read_ledger(spark, ledger).count() == len(everything) and len(got) == len(rows_)
+    secrets.update_ledger(docs_, ledger, rules="3")
+    assert secrets.read_ledger(spark, ledger).groupBy("rules").count().where(f"count = {len(everything)}").count() == 2
+
+    def base(t):
+        found = [(m.start(), 0, m.end()) for m in re.finditer(
+            r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 6]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        text = ",".join(f"{['assign', 'access', 'hex'][k]}:{a}:{z}" for a, k, z in sorted(found))
+        return (*(sum(x[1] == k for x in found) for k in range(3)), hashlib.sha256(text.encode()).hexdigest())
+
+    assert Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in got) == Counter(
+        (i, *base(t or "")) for i, t, _ in rows_)
 
 
 def test_lm_filter_keeps_its_bits_an_entry():
