@@ -9,7 +9,8 @@ Strings are dealt to shards by the anchor's hash, so equal strings meet:
    with one occurrence only (by least and greatest occurrence, summed in the
    tasks first) holds no repeated string and is done.
 2. The other runs, as byte pieces; equal pieces of an anchor are counted
-   instead of kept, and repeat as a whole.  Anchors whose pieces differ go on.
+   instead of kept, and repeat as a whole.  Anchors whose pieces differ, or
+   repeat something within, go on.
 3. A shard's pieces form one suffix array, by Larsson-Sadakane refinement
    (doubling ranks, only groups that are not yet told apart are sorted again);
    Kasai's common prefixes, one lane a piece, tell the starts whose ``length``
@@ -44,6 +45,8 @@ MAX_PIECES = 20_000
 #: Starts of one anchor in one hash range of its merge.
 RANGE_STARTS = 1 << 18
 SEGMENT = 2 << 20
+#: Starts of one run at most; a run of one anchor place has LENGTH - GRAM + 1, a periodic text's goes on.
+MAX_RUN = 4096
 SPANS = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
 
 
@@ -67,7 +70,9 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(column: pa.Array, length: int):
-    """For pieces of the texts: (row, anchor hash, first start, number of starts, bytes of the text, its offset there).
+    """For pieces of the texts: (row, anchor hash, first start, number of starts, bytes of the text, its offset
+    there, does the anchor's place move within the run).  A run goes on while the anchor's hash stays, so a
+    periodic text makes few runs; one whose anchor moves can hold a string twice.
 
     Long texts are taken in overlapping segments, so that positions fit the low
     24 bits of the packed minima; ties go to the leftmost gram in either case."""
@@ -83,10 +88,16 @@ def anchor_runs(column: pa.Array, length: int):
             row = np.searchsorted(offs, begin + start, side="right") - 1
             inside = begin + start + length <= offs[row + 1]
             cut = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])]))
+            key, keep = h[anchor[cut]], inside[cut]
+            cut = cut[np.concatenate([[True], (key[1:] != key[:-1]) | ~keep[1:] | ~keep[:-1]])]
             size = np.diff(np.append(cut, len(anchor)))
-            keep = inside[cut]
-            first, size = cut[keep], size[keep]
-            yield lo + row[first], h[anchor[first]], begin + first - offs[row[first]], size, part, first
+            first, size = cut[inside[cut]], size[inside[cut]]
+            if len(size) and size.max() > MAX_RUN:
+                n = -(-size // MAX_RUN)
+                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                first, size = np.repeat(first, n) + nth * MAX_RUN, np.minimum(np.repeat(size, n) - nth * MAX_RUN, MAX_RUN)
+            moves = anchor[first] != anchor[first + size - 1]
+            yield lo + row[first], h[anchor[first]], begin + first - offs[row[first]], size, part, first, moves
 
 
 def text_keys(column: pa.Array) -> list[str]:
@@ -104,15 +115,16 @@ def anchor_occurrences(docs: DataFrame, text_col: str, length: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = np.array([int(k[:16], 16) for k in text_keys(b.column(0))], np.uint64)
-            for row, anchor, start, _, _, _ in anchor_runs(b.column(0), length):
+            for row, anchor, start, _, _, _, moves in anchor_runs(b.column(0), length):
                 occ = mix64(keys[row] + mix64(start.astype(np.uint64) + np.uint64(1)))
+                anchor, occ = np.append(anchor, anchor[moves]), np.append(occ, ~occ[moves])  # counts as two places
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(occ.view(np.int64))], names=["anchor", "occ"])
 
     return docs.select(text_col).mapInArrow(tidy(run), "anchor long, occ long")
 
 
 def anchor_pieces(docs: DataFrame, text_col: str, length: int, screen: Bloom) -> DataFrame:
-    """(anchor, t, start, n, piece) of the screened runs, a text once from a task."""
+    """(anchor, t, start, n, moves, piece) of the screened runs, a text once from a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[str] = set()
@@ -123,15 +135,16 @@ def anchor_pieces(docs: DataFrame, text_col: str, length: int, screen: Bloom) ->
                 if k not in met:
                     met.add(k)
                     new[i] = True
-            for row, anchor, start, size, part, at in anchor_runs(b.column(0), length):
+            for row, anchor, start, size, part, at, moves in anchor_runs(b.column(0), length):
                 ok = np.flatnonzero(new[row] & screen.has(anchor))
                 raw = part.tobytes()
                 pieces = [raw[i:i + n + length - 1] for i, n in zip(at[ok].tolist(), size[ok].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor[ok].view(np.int64)), pa.array([keys[i] for i in row[ok].tolist()], pa.string()),
-                     pa.array(start[ok]), pa.array(size[ok]), pa.array(pieces, pa.binary())], names=["anchor", "t", "start", "n", "piece"])
+                     pa.array(start[ok]), pa.array(size[ok]), pa.array(moves[ok]), pa.array(pieces, pa.binary())],
+                    names=["anchor", "t", "start", "n", "moves", "piece"])
 
-    return docs.select(text_col).mapInArrow(tidy(run), "anchor long, t string, start long, n long, piece binary")
+    return docs.select(text_col).mapInArrow(tidy(run), "anchor long, t string, start long, n long, moves boolean, piece binary")
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -285,10 +298,11 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     live = save(occ.groupBy("anchor").agg(F.min("occ").alias("a"), F.max("occ").alias("b")).where("a <> b").select("anchor"), "repeat-anchors")
     pieces = save(anchor_pieces(docs, text_col, length, build_bloom(live, "anchor"))
                   .join(live, "anchor", "left_semi").withColumn("piece_key", F.xxhash64("piece")), "repeat-pieces")
-    places = pieces.select("anchor", "piece_key", "t", "start", "n").distinct()
-    counts = (places.groupBy("anchor", "piece_key").agg(F.count("*").alias("copies"), F.first("n").alias("n")))
+    places = pieces.select("anchor", "piece_key", "t", "start", "n", "moves").distinct()
+    counts = (places.groupBy("anchor", "piece_key").agg(F.count("*").alias("copies"), F.first("n").alias("n"), F.first("moves").alias("moves")))
     kinds = save(counts, "repeat-kinds")
-    per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("starts")).where("kinds > 1")
+    per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("starts"), F.max("moves").alias("moves"))
+    per_anchor = per_anchor.where("kinds > 1 or moves").select("anchor", "kinds", "starts")
     per_anchor = save(per_anchor, "repeat-mixed")
     salt = F.when(F.col("kinds") > max_pieces, F.pmod(F.col("piece_key"), F.ceil(F.col("kinds") / max_pieces))).otherwise(F.lit(0))
     mixed = (pieces.join(per_anchor, "anchor").groupBy("anchor", "piece_key")
