@@ -176,8 +176,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     share = min(1.0, 1.2 * max_train / max(1, known.count()))
     near = known.where(F.pmod(F.xxhash64("train_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     chosen = save(near.orderBy(F.xxhash64("train_id"), "train_id").limit(max_train), "toxic-train")
-    n_of = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["train_id"]).select(
+    learn = chosen.where(fold_of("train_id") != 1)  # remainder 1 fits the scale: neither lexicon nor trees see it
+    n_of = {r["label"]: r["n"] for r in learn.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    texts = docs.join(F.broadcast(learn), docs[id_col] == learn["train_id"]).select(
         docs[text_col].alias("text"), F.col("label").alias("toxic"))  # at most max_train rows are broadcast
     lexicon = learn_lexicon(texts, n_of.get(1.0, 0), n_of.get(0.0, 0))
     rows = save(with_features(docs, [id_col], text_col, lexicon), "toxic-features")
