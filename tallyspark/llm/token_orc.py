@@ -214,9 +214,8 @@ class Encoder:
     def encode_run(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of each text's ids) of UTF-8 texts ``data[offs[i]:offs[i + 1]]``."""
         text = data.tobytes().decode("utf-8")
-        codes = data
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         if len(text) != len(data):
-            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
             offs = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offs]
         low, starts, ends, whole = self._cut(codes, offs)
         if not len(starts):
@@ -307,6 +306,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             .select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "token_ids"))
 
 
+def find_documents(tokens: DataFrame, ids: list[int]) -> DataFrame:
+    """The rows of ``tokens`` (from ``read_tokens``) with these document ids.  The ids reach the
+    scan: files, stripes and row groups are skipped by their least and greatest id and Bloom filter."""
+    return tokens.where(F.col("doc_id").isin([int(i) for i in ids]))
+
+
 def with_crc(tokens: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and the crc32 of the ids as little-endian unsigned 32-bit integers."""
 
