@@ -99,6 +99,13 @@ class Kept:
             self.put(key, got)
         return got
 
+    def get_all(self, keys: list) -> list:
+        """``get`` of each key."""
+        out = list(map(self.young.get, keys))
+        if self.old or None in out:
+            out = [self.get(k) if x is None else x for k, x in zip(keys, out)]
+        return out
+
     def put(self, key, value) -> None:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import Kept, chunks, find_words, hash_spans, n_shards, of_process, scratch_path, text_bytes, tidy
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 CHUNK_BYTES = 1 << 20
 WHITE = re.compile(rb"[ \n]")
 
@@ -195,7 +195,7 @@ class Encoder:
     @staticmethod
     def _ids(names: list[str], kept: Kept, encode) -> list[bytes]:
         """Packed ids of each name; ``encode`` gives those of names not met before."""
-        out = [kept.get(x) for x in names]
+        out = kept.get_all(names)
         new = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(new, encode([names[i] for i in new])):
             out[i] = ids
@@ -226,16 +226,16 @@ class Encoder:
                 and same_spans(low, starts, ends, starts[first][which])):  # two pieces of one hash: each is its own
             first = which = np.arange(len(starts))
         lower = text if low is codes else low.astype("<u4").tobytes().decode("utf-32-le")
-        spans = list(zip(starts[first].tolist(), ends[first].tolist(), whole[first].tolist()))
-        ids: list[bytes] = [b""] * len(spans)
+        ids: list[bytes] = [b""] * len(first)
         for of_text, kept, encode, flag in ((lower, self.kept, lambda new: map(self.pieces.encode, new), False),
                                             (text, self.words, lambda new: encode_words(self.tok, new), True)):
-            mine = [i for i, x in enumerate(spans) if x[2] == flag]
-            if not mine:
+            mine = np.flatnonzero(whole[first] == flag)
+            if not len(mine):
                 continue
-            for i, x in zip(mine, self._ids([of_text[spans[i][0]:spans[i][1]] for i in mine], kept, encode)):
+            names = [of_text[a:z] for a, z in zip(starts[first[mine]].tolist(), ends[first[mine]].tolist())]
+            for i, x in zip(mine.tolist(), self._ids(names, kept, encode)):
                 ids[i] = x
-        n = np.array([len(x) // 4 for x in ids], np.int64)
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, begin, count = np.frombuffer(b"".join(ids), np.int32), (np.cumsum(n) - n)[which], n[which]
         at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
         before = np.concatenate([[0], np.cumsum(count)])
