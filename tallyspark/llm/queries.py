@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (byte_bpe, decontaminate, jaccard_join, kn_quality, lm_scoring, quality_rules, secrets, simhash_cover, spelling,
                suffix_dedup, token_orc, toxicity, whitening)
+from .oracle_sql import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
@@ -20,5 +21,3 @@ QUERIES = {
     "op12_embedding_whitening": whitening.op12_embedding_whitening,
     "op13_spelling_groups": spelling.op13_spelling_groups,
 }
-
-ORACLE_SQL: dict[str, str] = {}
