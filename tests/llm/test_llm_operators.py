@@ -467,3 +467,36 @@ def test_suffix_dedup_with_many_ranges(spark, docs, rows, monkeypatch):
     few = {i: r["kept"] for i, r in by_id(suffix_dedup.remove_repeats(docs, max_pieces=1)).items()}
     monkeypatch.setattr(suffix_dedup, "RANGE_STARTS", 2)
     assert {i: r["kept"] for i, r in by_id(suffix_dedup.remove_repeats(docs, max_pieces=1)).items()} == few
+
+
+@pytest.fixture(scope="module")
+def marks(spark, rows):
+    """Labels of the fixture's rows: repeated, null and unknown ids among them."""
+    marked = [(i, int(i % 3 != 0), int(i % 4 == 0)) for i, *_ in rows if i is not None]
+    return spark.createDataFrame([*marked, marked[3], (None, 1, 1), (10_000, 0, 1), (7, None, None)], "doc_id long, quality int, toxic int").coalesce(2)
+
+
+def test_classifier_on_edge_rows(docs, rows, marks):
+    """Every row comes back once; empty texts stay; equal texts of a language have one perplexity;
+    a verdict is its perplexity against the threshold."""
+    got = kn_quality.classify(docs, marks, keep=("doc_id", "lang", "n_tokens")).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows) and {r["n_tokens"] for r in got} == {7, None}
+    of = {r["doc_id"]: r for r in got}
+    for i, t, *_ in rows:
+        assert (of[i]["perplexity"] is None) == (not t)
+        assert of[i]["kept"] == (not t or of[i]["perplexity"] <= of[i]["threshold"])
+    kept = kn_quality.keep_good(docs, marks)
+    assert kept.columns == docs.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in got if r["kept"])
+
+
+def test_toxicity_on_edge_rows(docs, rows, marks):
+    """Every row comes back once with a score from 0 to 1; folds by the id's crc32; equal texts score alike."""
+    got = toxicity.score_toxicity(docs, marks).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    of_text = {}
+    for r in got:
+        assert 0 <= r["score"] <= 1
+        assert r["held_out"] == (zlib.crc32(str("" if r["doc_id"] is None else r["doc_id"]).encode()) % 5 == 0)
+    text_of = {i: t or "" for i, t, *_ in rows}
+    for r in got:
+        assert of_text.setdefault(text_of[r["doc_id"]], r["score"]) == r["score"]
